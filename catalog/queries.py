@@ -2,3 +2,5 @@
 
 from catalog import scans  # noqa: F401
 from catalog import projections  # noqa: F401
+from catalog import filters  # noqa: F401
+from catalog import joins  # noqa: F401
