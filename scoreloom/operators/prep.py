@@ -92,18 +92,17 @@ class Fill:
     marker: float | None = None
     unknown_text: str = UNKNOWN_TEXT
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        """Fill; text columns that were not fitted get the unknown text."""
+    def apply(self, df: DataFrame, unknown_texts: bool = False) -> DataFrame:
+        """Fill the fitted columns; ``unknown_texts`` gives other text columns the unknown text."""
         out = {
             c: F.coalesce(_without_marker(F.col(c), self.marker).cast("double"), F.lit(v))
             for c, v in self.numbers.items()
             if c in df.columns
         }
-        out |= {
-            c: F.coalesce(F.col(c), F.lit(self.texts.get(c, self.unknown_text)))
-            for c in text_columns(df)
-            if c in self.texts or not self.texts
-        }
+        texts = dict(self.texts)
+        if unknown_texts:
+            texts = {c: self.unknown_text for c in text_columns(df)} | texts
+        out |= {c: F.coalesce(F.col(c), F.lit(v)) for c, v in texts.items() if c in df.columns}
         return df.withColumns(out) if out else df
 
 
