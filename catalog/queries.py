@@ -9,3 +9,4 @@ from catalog import bands  # noqa: F401
 from catalog import quality  # noqa: F401
 from catalog import policies  # noqa: F401
 from catalog import preparation  # noqa: F401
+from catalog import modelling  # noqa: F401
