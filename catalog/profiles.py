@@ -113,7 +113,7 @@ UNION ALL SELECT 'tier', CAST(tier AS VARCHAR), {RATE} FROM people WHERE tier IS
 UNION ALL SELECT 'installed', CAST(installed AS VARCHAR), {RATE} FROM people GROUP BY 2""")
 def category_event_rates_auto(spark, folder):
     df = people(spark, folder)
-    columns = profile.category_columns(df, 20, 20, leave_out=["y", "cust", "name"])
+    columns = profile.category_columns(df, 20, 20, leave_out=["y", "cust", "name", "nation_text", "nation", "balance", "rare"])
     return profile.category_event_rates(df, "y", columns)
 
 
