@@ -136,9 +136,9 @@ def as_doubles(df):
     """Decimals as DOUBLE; ratios, which are divided as decimals here and as doubles in SQL, to 8 digits."""
     out = []
     for f in df.schema.fields:
-        c = F.col(f.name).cast("double") if f.dataType.typeName() == "decimal" else F.col(f.name)
-        out.append((F.round(c, 8) if f.name.startswith("RAZ_") else c).alias(f.name))
-    return df.select(*out)
+        c = f"cast(`{f.name}` AS double)" if f.dataType.typeName() == "decimal" else f"`{f.name}`"
+        out.append(f"{f'round({c}, 8)' if f.name.startswith('RAZ_') else c} AS `{f.name}`")
+    return df.selectExpr(*out)
 
 
 def average_sql(condition: str) -> str:

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.functions.cleaning import month_index, shifted
-from scoreloom.functions.scalars import safe_ratio
 from scoreloom.session import written
 
 # Window names with their months, and the name part of every aggregate.
@@ -32,6 +31,10 @@ class Indicator:
     values: tuple
 
 
+def _literal(value: str | int) -> str:
+    return str(value) if isinstance(value, int) else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class BookSpec:
     """What a book computes. ``anchor`` says where windows end: at each customer's last active
@@ -49,11 +52,11 @@ class BookSpec:
     anchor: str = "customer"
     keep_customers_without_features: bool = True
 
-    def conditions(self) -> list[tuple[str, Column | None]]:
+    def conditions(self) -> list[tuple[str, str | None]]:
         """Name part and row condition of the plain aggregates and of each indicator value."""
-        out: list[tuple[str, Column | None]] = [("", None)]
+        out: list[tuple[str, str | None]] = [("", None)]
         for ind in self.indicators:
-            out += [(f"{ind.alias}_{v}_", F.col(ind.column) == F.lit(v)) for v in ind.values]
+            out += [(f"{ind.alias}_{v}_", f"`{ind.column}` = {_literal(v)}") for v in ind.values]
         return out
 
     def ratio_pairs(self) -> list[tuple[str, str]]:
@@ -91,13 +94,15 @@ def _parts(aggregates: Iterable[str]) -> list[str]:
 
 
 def customer_months(df: DataFrame, spec: BookSpec) -> DataFrame:
-    """One row per customer and month with ``<part>__<condition><value>`` columns."""
-    combine = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min}
+    """One row per customer and month with ``<part>__<condition><value>`` columns.
+
+    Books have up to thousands of generated columns; as SQL text each is one call to build.
+    """
     out = []
     for label, condition in spec.conditions():
         for value in spec.values:
-            c = F.col(value) if condition is None else F.when(condition, F.col(value))
-            out += [combine[p](c).alias(f"{p}__{label}{value}") for p in _parts(spec.aggregates)]
+            c = f"`{value}`" if condition is None else f"CASE WHEN {condition} THEN `{value}` END"
+            out += [F.expr(f"{p}({c}) AS `{p}__{label}{value}`") for p in _parts(spec.aggregates)]
     return df.groupBy(spec.key, spec.cohort).agg(*out)
 
 
@@ -115,40 +120,37 @@ def window_features(
 
     out = []
     for window in spec.windows:
-        inside = F.col(window) == 1
         for label, _ in spec.conditions():
             for value in spec.values:
-                part = {p: F.when(inside, F.col(f"{p}__{label}{value}")) for p in _parts(spec.aggregates)}
+                part = {p: f"CASE WHEN `{window}` = 1 THEN `{p}__{label}{value}` END" for p in _parts(spec.aggregates)}
                 for aggregate in spec.aggregates:
-                    c = _combined(aggregate, part, types[value])
-                    out.append(c.alias(spec.layer1_name(aggregate, window, label, value)))
+                    name = spec.layer1_name(aggregate, window, label, value)
+                    out.append(F.expr(f"{_combined(aggregate, part, types[value])} AS `{name}`"))
     return flagged.groupBy(spec.key).agg(*out)
 
 
-def _combined(aggregate: str, part: dict[str, Column], value_type: T.DataType) -> Column:
+def _combined(aggregate: str, part: dict[str, str], value_type: T.DataType) -> str:
     """The window aggregate from its monthly parts."""
     if aggregate == "count":
-        return F.coalesce(F.sum(part["count"]), F.lit(0))
-    if aggregate in ("max", "min"):
-        return F.round((F.max if aggregate == "max" else F.min)(part[aggregate]), 2)
-    if aggregate == "sum":
-        return F.round(F.sum(part["sum"]), 2)
-    count = F.sum(part["count"])
-    average = F.sum(part["sum"]) / F.when(count > 0, count)
+        return f"coalesce(sum({part['count']}), 0L)"
+    if aggregate in ("max", "min", "sum"):
+        return f"round({aggregate}({part[aggregate]}), 2)"
+    average = f"sum({part['sum']}) / nullif(sum({part['count']}), 0L)"
     if isinstance(value_type, T.DecimalType):
         # The built-in decimal average keeps four more digits before it is rounded to two.
-        average = average.cast(T.DecimalType(value_type.precision + 4, value_type.scale + 4))
-    return F.round(average, 2)
+        average = f"cast({average} AS decimal({value_type.precision + 4},{value_type.scale + 4}))"
+    return f"round({average}, 2)"
 
 
 def ratio_features(df: DataFrame, spec: BookSpec) -> DataFrame:
-    """Layer 2: average of a window over the average of the next longer one."""
+    """Layer 2: average of a window over the average of the next longer one, NULL over zero."""
     out = []
     for num, den in spec.ratio_pairs():
         for label, _ in spec.conditions():
             for value in spec.values:
-                top, bottom = (F.col(spec.layer1_name("avg", w, label, value)) for w in (num, den))
-                out.append(safe_ratio(top, bottom).alias(spec.ratio_name(num, den, label, value)))
+                top, bottom = (f"`{spec.layer1_name('avg', w, label, value)}`" for w in (num, den))
+                name = spec.ratio_name(num, den, label, value)
+                out.append(F.expr(f"CASE WHEN {bottom} <> 0 THEN {top} / {bottom} END AS `{name}`"))
     return df.select("*", *out)
 
 

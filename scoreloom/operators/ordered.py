@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.scalars import hash_text
 from scoreloom.session import written
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 10_000
 # A side of a join is broadcast up to this many cells, some 40 MB of numbers.
 BROADCAST_CELLS = 5_000_000
@@ -53,8 +53,13 @@ def running_totals_of(
     groups: Sequence[str] = (),
     descending: bool = False,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    only_buckets: Column | None = None,
 ) -> DataFrame:
-    """Add the running total ``cum_*`` and group total ``all_*`` of each sum in ``value_sums``' result."""
+    """Add the running total ``cum_*`` and group total ``all_*`` of each sum in ``value_sums``' result.
+
+    ``only_buckets`` keeps the buckets meeting a condition on their sums before (``_off_*``), their own
+    sums (``_in_*``) and ``all_*``; the others are then neither shuffled nor sorted.
+    """
     groups, names = list(groups), list(names)
     buckets = min(max(ceil(reduced.count() / rows_per_bucket), 1), MAX_BUCKETS)
     cuts: list[float] = []
@@ -68,6 +73,7 @@ def running_totals_of(
     else:
         bucketed = reduced.withColumn("_b", F.lit(0.0))
 
+    # One row per group and bucket is left for the offsets, so these windows stay small.
     order = F.desc if descending else F.asc
     before = Window.partitionBy(*groups).orderBy(order("_b")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*groups)
@@ -78,9 +84,12 @@ def running_totals_of(
             *groups,
             "_b",
             *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_off_{n}") for n in names],
+            *[F.col(n).alias(f"_in_{n}") for n in names],
             *[F.sum(n).over(whole).alias(f"all_{n}") for n in names],
         )
     )
+    if only_buckets is not None:
+        offsets = offsets.where(only_buckets)
     inside = Window.partitionBy(*groups, "_b").orderBy(order(value)).rowsBetween(Window.unboundedPreceding, 0)
     joined = null_safe_join(bucketed, offsets, [*groups, "_b"])
     return joined.select(
@@ -109,10 +118,30 @@ def running_totals(
     return running_totals_of(reduced, value, list(sums), groups, descending, rows_per_bucket)
 
 
+def _holds_rank(probabilities: Sequence[float], before: Column, own: Column) -> Column:
+    """Whether any rank needed for the quantiles lies among ``own`` rows following ``before`` rows."""
+    last, hit = F.col("all_n") - 1, F.lit(False)
+    for p in probabilities:
+        for rank in (F.floor(last * p), F.ceil(last * p)):
+            hit = hit | ((rank >= before) & (rank < before + own))
+    return hit
+
+
 def quantiles_of(
-    ranked: DataFrame, value: str, probabilities: Sequence[float], groups: Sequence[str] = ()
+    reduced: DataFrame,
+    value: str,
+    probabilities: Sequence[float],
+    groups: Sequence[str] = (),
+    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles from running counts ``n``, as an array ``quantiles``."""
+    """Exact linearly interpolated quantiles from ``value_sums`` with counts ``n``, as an array.
+
+    Only the buckets that hold a needed rank are sorted.
+    """
+    ranked = running_totals_of(
+        reduced, value, ["n"], groups, rows_per_bucket=rows_per_bucket,
+        only_buckets=_holds_rank(probabilities, F.col("_off_n"), F.col("_in_n")),
+    )
     last = F.col("all_n") - 1
 
     def at(rank: Column) -> Column:
@@ -142,8 +171,8 @@ def quantiles(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group, with the number of values ``n``."""
-    ranked = running_totals(df, value, {"n": F.lit(1)}, groups, rows_per_bucket=rows_per_bucket)
-    return quantiles_of(ranked, value, probabilities, groups)
+    reduced = value_sums(df, value, {"n": F.lit(1)}, groups)
+    return quantiles_of(reduced, value, probabilities, groups, rows_per_bucket)
 
 
 def long_numeric(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scoreloom.functions.scalars import KEPT, SWAP_IN, SWAP_OUT, approved_flag, swap_group
+from scoreloom.functions.scalars import APPROVAL_POINTS, KEPT, SWAP_IN, SWAP_OUT, approved_flag, swap_group
 
 # Order of the groups in reports.
 GROUP_ORDER = (KEPT, SWAP_IN, SWAP_OUT)
@@ -18,7 +18,7 @@ def install_rates(control: DataFrame, installed: str = "FLAG_INSTALACAO") -> Dat
     return counts.select(installed, "n", (F.col("n") / total).alias("rate"))
 
 
-def with_swap(df: DataFrame, points: str, threshold: float, installed: str = "FLAG_INSTALACAO") -> DataFrame:
+def with_swap(df: DataFrame, points: str, threshold: float = APPROVAL_POINTS, installed: str = "FLAG_INSTALACAO") -> DataFrame:
     """Add the model's approval and the swap group."""
     approved = approved_flag(F.col(points), threshold)
     return df.select("*", approved.alias("aprovado_modelo")).withColumn(

@@ -149,22 +149,25 @@ def route_by_cardinality(df: DataFrame, limit: int = 20, leave_out: Sequence[str
 
 @dataclass(frozen=True)
 class OneHot:
-    """0/1 columns ``<column>_<value>``; unknown values give zeros everywhere."""
+    """0/1 columns ``<column>_<value>``; unknown values give zeros everywhere.
+
+    Dots and backticks, which column references would misread, become underscores in names.
+    """
 
     categories: dict[str, list[str]]
     drop_first: bool = False
 
-    def names(self) -> dict[str, list[str]]:
-        return {c: [f"{c}_{v}" for v in vs[self.drop_first:]] for c, vs in self.categories.items()}
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        kept = [c for c in df.columns if c not in self.categories]
-        flags = [
-            F.when(F.col(c) == v, 1).otherwise(0).alias(f"{c}_{v}")
+    def flags(self) -> list[tuple[str, str, str]]:
+        """Column, value and output name, in output order."""
+        return [
+            (c, v, f"{c}_{v}".replace(".", "_").replace("`", "_"))
             for c, vs in self.categories.items()
             for v in vs[self.drop_first:]
         ]
-        return df.select(*kept, *flags)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        kept = [c for c in df.columns if c not in self.categories]
+        return df.select(*kept, *[F.when(F.col(c) == v, 1).otherwise(0).alias(n) for c, v, n in self.flags()])
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False, most: int = 1000) -> OneHot:
@@ -319,8 +322,7 @@ class Prep:
 
     @property
     def features(self) -> list[str]:
-        hot = [n for names in self.one_hot.names().values() for n in names]
-        return [*hot, *self.target_encoding.tables, *self.scale.centers]
+        return [*[name for _, _, name in self.one_hot.flags()], *self.target_encoding.tables, *self.scale.centers]
 
     def apply(self, df: DataFrame) -> DataFrame:
         out = self.modes.apply(self.medians.apply(df))

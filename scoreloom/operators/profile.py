@@ -13,7 +13,6 @@ from scoreloom.operators.ordered import (
     long_numeric,
     quantiles,
     quantiles_of,
-    running_totals_of,
     value_sums,
 )
 from scoreloom.session import written
@@ -314,9 +313,8 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     """Quartiles, whiskers (last values within 1.5 interquartile ranges) and number of outliers."""
     groups = ["variable", *by]
     values = value_sums(long_numeric(df, columns, by), "value", {"n": F.lit(1)}, groups)
-    ranked = running_totals_of(values, "value", ["n"], groups)
     cuts = written(
-        quantiles_of(ranked, "value", [0.25, 0.5, 0.75], groups).select(
+        quantiles_of(values, "value", [0.25, 0.5, 0.75], groups).select(
             *groups, *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))]
         ),
         "quartiles",

@@ -21,9 +21,10 @@ def write_partitioned(
 
     Without ``files_per_partition`` the write needs no shuffle. With it, rows are spread over that
     many writers per partition value, so a cohort holding most rows is never written by one task.
+    The spread follows the row's content, so a repeated task sends every row the same way.
     """
     if files_per_partition:
-        df = df.repartition(*partition_by, F.floor(F.rand(7) * files_per_partition))
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition)))
     mode = "dynamic" if only_touched else "static"
     df.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(*partition_by).parquet(path)
 
