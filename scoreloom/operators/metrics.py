@@ -19,41 +19,42 @@ def _ratio(a: Column, b: Column) -> Column:
 
 def score_totals(df: DataFrame, score: str, target: str, groups: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, best first: rows and events with running and overall totals."""
-    rows = df.where(F.col(target).isNotNull())
-    events = F.when(F.col(target) == 1, 1).otherwise(0)
-    return running_totals(rows, score, {"n": F.lit(1), "pos": events}, groups, descending=True)
+    rows = df.where(F.col(target).isNotNull()).select(
+        *groups, F.col(score).alias("_score"), F.when(F.col(target) == 1, 1).otherwise(0).alias("_event")
+    )
+    return running_totals(rows, "_score", {"_n": F.lit(1), "_pos": F.col("_event")}, groups, descending=True)
 
 
 def gain_curve(df: DataFrame, score: str, target: str, groups: Sequence[str] = ()) -> DataFrame:
     """Cumulative share of events and non-events by descending score; equal scores are one point."""
-    events = _ratio(F.col("cum_pos"), F.col("all_pos"))
-    others = _ratio(F.col("cum_n") - F.col("cum_pos"), F.col("all_n") - F.col("all_pos"))
+    events = _ratio(F.col("cum__pos"), F.col("all__pos"))
+    others = _ratio(F.col("cum__n") - F.col("cum__pos"), F.col("all__n") - F.col("all__pos"))
     return score_totals(df, score, target, groups).select(
-        *groups, score, "n", "pos", events.alias("cum_event_share"), others.alias("cum_nonevent_share")
+        *groups, F.col("_score").alias(score), F.col("_n").alias("n"), F.col("_pos").alias("pos"), events.alias("cum_event_share"), others.alias("cum_nonevent_share")
     )
 
 
 def ranking_metrics(df: DataFrame, score: str, target: str, groups: Sequence[str] = ()) -> DataFrame:
     """AUC (ties count half), Gini, KS and average precision of the whole table or of each group."""
     t = score_totals(df, score, target, groups)
-    pos, neg = F.col("pos").cast("double"), (F.col("n") - F.col("pos")).cast("double")
-    all_pos, all_neg = F.col("all_pos"), F.col("all_n") - F.col("all_pos")
-    pairs = neg * (F.col("cum_pos") - pos / 2)
-    gap = F.abs(_ratio(F.col("cum_pos"), all_pos) - _ratio(F.col("cum_n") - F.col("cum_pos"), all_neg))
+    pos, neg = F.col("_pos").cast("double"), (F.col("_n") - F.col("_pos")).cast("double")
+    all_pos, all_neg = F.col("all__pos"), F.col("all__n") - F.col("all__pos")
+    pairs = neg * (F.col("cum__pos") - pos / 2)
+    gap = F.abs(_ratio(F.col("cum__pos"), all_pos) - _ratio(F.col("cum__n") - F.col("cum__pos"), all_neg))
     out = t.groupBy(*groups).agg(
         F.sum(pairs).alias("_pairs"),
-        F.max(all_pos).alias("_pos"),
-        F.max(all_neg).alias("_neg"),
+        F.max(all_pos).alias("_all_pos"),
+        F.max(all_neg).alias("_all_neg"),
         F.max(gap).alias("ks"),
-        F.sum(pos * _ratio(F.col("cum_pos"), F.col("cum_n"))).alias("_ap"),
+        F.sum(pos * _ratio(F.col("cum__pos"), F.col("cum__n"))).alias("_ap"),
     )
-    auc = _ratio(F.col("_pairs"), F.col("_pos").cast("double") * F.col("_neg"))
+    auc = _ratio(F.col("_pairs"), F.col("_all_pos").cast("double") * F.col("_all_neg"))
     return out.select(
         *groups,
         auc.alias("auc"),
         (auc * 2 - 1).alias("gini"),
         "ks",
-        _ratio(F.col("_ap"), F.col("_pos")).alias("average_precision"),
+        _ratio(F.col("_ap"), F.col("_all_pos")).alias("average_precision"),
     )
 
 
@@ -73,19 +74,20 @@ def ks_gini_by_cohort(df: DataFrame, score: str, target: str, cohort: str) -> Da
 
 def roc_curve(df: DataFrame, score: str, target: str) -> DataFrame:
     """False and true positive rate at every distinct threshold (predict 1 from the threshold up)."""
-    return gain_curve(df, score, target).select(
-        F.col(score).alias("threshold"),
-        F.col("cum_nonevent_share").alias("fpr"),
-        F.col("cum_event_share").alias("tpr"),
+    t = score_totals(df, score, target)
+    others = _ratio(F.col("cum__n") - F.col("cum__pos"), F.col("all__n") - F.col("all__pos"))
+    return t.select(
+        F.col("_score").alias("threshold"), others.alias("fpr"),
+        _ratio(F.col("cum__pos"), F.col("all__pos")).alias("tpr"),
     )
 
 
 def pr_curve(df: DataFrame, score: str, target: str) -> DataFrame:
     """Precision and recall at every distinct threshold."""
     return score_totals(df, score, target).select(
-        F.col(score).alias("threshold"),
-        _ratio(F.col("cum_pos"), F.col("cum_n")).alias("precision"),
-        _ratio(F.col("cum_pos"), F.col("all_pos")).alias("recall"),
+        F.col("_score").alias("threshold"),
+        _ratio(F.col("cum__pos"), F.col("cum__n")).alias("precision"),
+        _ratio(F.col("cum__pos"), F.col("all__pos")).alias("recall"),
     )
 
 
@@ -97,16 +99,17 @@ def normalized_gini(df: DataFrame, score: str, target: str) -> DataFrame:
     """
 
     def area(order: str) -> DataFrame:
-        t = running_totals(df, order, {"n": F.lit(1), "s": F.col("_y")}, descending=True)
-        n, s = F.col("n").cast("double"), F.col("s").cast("double")
-        rows_before, sum_before = F.col("cum_n") - n, F.col("cum_s") - s
-        even = (n * rows_before + n * (n + 1) / 2) / F.col("all_n")
-        lorenz = _ratio(n * sum_before + s * (n + 1) / 2, F.col("all_s"))
+        t = running_totals(rows, order, {"_n": F.lit(1), "_sum": F.col("_y")}, descending=True)
+        n, s = F.col("_n").cast("double"), F.col("_sum").cast("double")
+        rows_before, sum_before = F.col("cum__n") - n, F.col("cum__sum") - s
+        even = (n * rows_before + n * (n + 1) / 2) / F.col("all__n")
+        lorenz = _ratio(n * sum_before + s * (n + 1) / 2, F.col("all__sum"))
         return t.agg(F.sum(even - lorenz).alias("area"))
 
-    df = df.select(F.col(target).cast("double").alias("_y"), F.col(target).cast("double").alias("_t"), F.col(score))
-    by_score = area(score).scalar()
-    return area("_t").select(F.try_divide(by_score, F.col("area")).alias("normalized_gini"))
+    y = F.col(target).cast("double")
+    rows = df.select(y.alias("_y"), y.alias("_order"), F.col(score).alias("_score")).dropna()
+    by_score = area("_score").scalar()
+    return area("_order").select(F.try_divide(by_score, F.col("area")).alias("normalized_gini"))
 
 
 # --- at a cut-off ---------------------------------------------------------------------------------

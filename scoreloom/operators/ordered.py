@@ -120,7 +120,7 @@ def running_totals(
 
 def _holds_rank(probabilities: Sequence[float], before: Column, own: Column) -> Column:
     """Whether any rank needed for the quantiles lies among ``own`` rows following ``before`` rows."""
-    last, hit = F.col("all_n") - 1, F.lit(False)
+    last, hit = F.col("all__n") - 1, F.lit(False)
     for p in probabilities:
         for rank in (F.floor(last * p), F.ceil(last * p)):
             hit = hit | ((rank >= before) & (rank < before + own))
@@ -134,21 +134,21 @@ def quantiles_of(
     groups: Sequence[str] = (),
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Exact linearly interpolated quantiles from ``value_sums`` with counts ``n``, as an array.
+    """Exact linearly interpolated quantiles from ``value_sums`` with counts ``_n``, as an array.
 
     Only the buckets that hold a needed rank are sorted.
     """
     ranked = running_totals_of(
-        reduced, value, ["n"], groups, rows_per_bucket=rows_per_bucket,
-        only_buckets=_holds_rank(probabilities, F.col("_off_n"), F.col("_in_n")),
+        reduced, value, ["_n"], groups, rows_per_bucket=rows_per_bucket,
+        only_buckets=_holds_rank(probabilities, F.col("_off__n"), F.col("_in__n")),
     )
-    last = F.col("all_n") - 1
+    last = F.col("all__n") - 1
 
     def at(rank: Column) -> Column:
-        hit = (rank < F.col("cum_n")) & (rank >= F.col("cum_n") - F.col("n"))
+        hit = (rank < F.col("cum__n")) & (rank >= F.col("cum__n") - F.col("_n"))
         return F.max(F.when(hit, F.col(value)))
 
-    picks = [F.max("all_n").alias("n")]
+    picks = [F.max("all__n").alias("n")]
     for i, p in enumerate(probabilities):
         picks += [at(F.floor(last * p)).alias(f"_lo{i}"), at(F.ceil(last * p)).alias(f"_hi{i}")]
     found = ranked.groupBy(*groups).agg(*picks)
@@ -171,7 +171,7 @@ def quantiles(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per group, with the number of values ``n``."""
-    reduced = value_sums(df, value, {"n": F.lit(1)}, groups)
+    reduced = value_sums(df, value, {"_n": F.lit(1)}, groups)
     return quantiles_of(reduced, value, probabilities, groups, rows_per_bucket)
 
 

@@ -312,7 +312,7 @@ def histogram(df: DataFrame, columns: Sequence[str], bins: int = 30, by: Sequenc
 def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Quartiles, whiskers (last values within 1.5 interquartile ranges) and number of outliers."""
     groups = ["variable", *by]
-    values = value_sums(long_numeric(df, columns, by), "value", {"n": F.lit(1)}, groups)
+    values = value_sums(long_numeric(df, columns, by), "value", {"_n": F.lit(1)}, groups)
     cuts = written(
         quantiles_of(values, "value", [0.25, 0.5, 0.75], groups).select(
             *groups, *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q1", "median", "q3"))]
@@ -324,6 +324,6 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     return join_small(values, cuts, groups).groupBy(*groups, "q1", "median", "q3").agg(
         F.min(F.when(inside, x)).alias("low_whisker"),
         F.max(F.when(inside, x)).alias("high_whisker"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
-        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),
+        F.sum("_n").alias("n"),
     )
