@@ -8,7 +8,7 @@ parallel, and are exact: the cut points only decide how evenly work is spread, n
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import ceil, isfinite
+from math import ceil, floor, isfinite
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -181,12 +181,118 @@ def long_numeric(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()
     return wide.unpivot(list(keep), list(columns), "variable", "value")
 
 
+# Rank error of the sketch, and how far fences reach to either side of a wanted rank, as shares of all rows.
+SKETCH_ACCURACY = 5_000
+FENCE_SHARE = 0.001
+# Columns with fewer values than this need no fences; columns are sketched in groups to bound memory.
+FEW_VALUES = 20_000
+SKETCHED_AT_ONCE = 200
+
+
+def _fences(wide: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict[str, tuple[int, list]]:
+    """Per column: number of values, and disjoint intervals that should hold every wanted rank."""
+    around = [min(max(p + side, 0.0), 1.0) for p in probabilities for side in (-FENCE_SHARE, FENCE_SHARE)]
+    found: dict[str, tuple[int, list]] = {}
+    for start in range(0, len(columns), SKETCHED_AT_ONCE):
+        part = columns[start : start + SKETCHED_AT_ONCE]
+        row = wide.agg(
+            *[F.count(c).alias(f"n__{c}") for c in part],
+            *[F.percentile_approx(c, around, SKETCH_ACCURACY).alias(f"q__{c}") for c in part],
+        ).first()
+        for c in part:
+            n, q = row[f"n__{c}"], row[f"q__{c}"]
+            if n == 0:
+                continue
+            if n < FEW_VALUES:
+                found[c] = (n, [(float("-inf"), float("inf"))])
+                continue
+            merged: list[list[float]] = []
+            for low, high in sorted(zip(q[::2], q[1::2])):
+                if merged and low <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], high)
+                else:
+                    merged.append([low, high])
+            found[c] = (n, [tuple(m) for m in merged])
+    return found
+
+
 def column_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float]]:
-    """Quantiles of many columns in one pass; columns x probabilities numbers reach the driver."""
-    found = quantiles(long_numeric(df, columns), "value", probabilities, ["variable"])
-    return {r["variable"]: list(r["quantiles"]) for r in found.collect()}
+    """Exact linearly interpolated quantiles of many columns without shuffling all their values.
+
+    A first pass sketches each column and puts narrow fences around the wanted ranks. A second pass
+    keeps the values inside fences and only counts those between them, which combines map-side. Ranks
+    are then looked up among the few values kept. The counts prove whether each rank really lies in
+    its fence; a column where one does not is ranked in full. Columns x probabilities numbers reach
+    the driver.
+    """
+    columns = list(columns)
+    wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    fences = _fences(wide, columns, probabilities)
+    if not fences:
+        return {}
+    cells = []
+    for c, (_, intervals) in fences.items():
+        x, passed, inside = F.col(c), F.lit(0), F.lit(False)
+        for low, high in intervals:
+            passed = passed + F.when(x > high, 1).otherwise(0)
+            inside = inside | ((x >= low) & (x <= high))
+        cells.append(
+            F.struct(
+                F.lit(c).alias("variable"), F.when(x.isNotNull(), passed).alias("segment"), F.when(inside, x).alias("value")
+            )
+        )
+    reduced = written(
+        wide.select(F.inline(F.array(*cells))).where(F.col("segment").isNotNull())
+        .groupBy("variable", "segment", "value").agg(F.count("*").alias("_n")),
+        "fenced",
+    )
+
+    sizes: dict[tuple, int] = {}
+    for r in reduced.groupBy("variable", "segment", F.col("value").isNotNull().alias("inside")).agg(
+        F.sum("_n").alias("n")
+    ).collect():
+        sizes[r["variable"], r["segment"], r["inside"]] = r["n"]
+
+    wanted, missed = [], []
+    for c, (n, intervals) in fences.items():
+        starts, before = [], 0
+        for k in range(len(intervals)):
+            before += sizes.get((c, k, False), 0)
+            starts.append((before, before + sizes.get((c, k, True), 0)))
+            before = starts[-1][1]
+        for rank in sorted({r for p in probabilities for r in (floor((n - 1) * p), ceil((n - 1) * p))}):
+            k = next((k for k, (first, end) in enumerate(starts) if first <= rank < end), None)
+            if k is None:
+                missed.append(c)
+                break
+            wanted.append((c, k, rank - starts[k][0], rank))
+    wanted = [w for w in wanted if w[0] not in missed]
+
+    at: dict[tuple[str, int], float] = {}
+    if wanted:
+        kept = reduced.where(F.col("value").isNotNull())
+        ranked = running_totals_of(kept, "value", ["_n"], ["variable", "segment"])
+        # One row per column and wanted rank, as many as the numbers asked for.
+        places = df.sparkSession.createDataFrame(wanted, "variable string, segment int, place bigint, rank bigint")
+        hit = (F.col("place") < F.col("cum__n")) & (F.col("place") >= F.col("cum__n") - F.col("_n"))
+        for r in ranked.join(F.broadcast(places), ["variable", "segment"]).where(hit).collect():
+            at[r["variable"], r["rank"]] = r["value"]
+
+    out: dict[str, list[float]] = {}
+    for c, (n, _) in fences.items():
+        if c in missed:
+            continue
+        out[c] = []
+        for p in probabilities:
+            position = (n - 1) * float(p)
+            low, high = at[c, floor(position)], at[c, ceil(position)]
+            out[c].append(low + (high - low) * (position - floor(position)))
+    if missed:
+        found = quantiles(long_numeric(df, missed), "value", probabilities, ["variable"])
+        out |= {r["variable"]: list(r["quantiles"]) for r in found.collect()}
+    return out
 
 
 def shuffled_rank(

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.operators.ordered import (
+    column_quantiles,
     join_small,
     long_numeric,
-    quantiles,
     quantiles_of,
     value_sums,
 )
@@ -256,17 +256,21 @@ def group_event_rate_with_nulls(df: DataFrame, target: str, group: str) -> DataF
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], digits: int = 2) -> DataFrame:
     """Count, mean, standard deviation, minimum, quartiles and maximum of each column."""
-    rows = long_numeric(df, columns)
-    plain = rows.groupBy("variable").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    cuts = quantiles(rows, "value", [0.25, 0.5, 0.75], ["variable"])
-    out = plain.join(cuts.select("variable", "quantiles"), "variable", "left").select(
-        "variable", "n", "mean", "std", "min", *[F.col("quantiles")[i].alias(q) for i, q in enumerate(("q25", "q50", "q75"))],
-        "max",
-    )
-    return out.select("variable", "n", *[F.round(c, digits).alias(c) for c in out.columns[2:]])
+    cuts = column_quantiles(df, columns, [0.25, 0.5, 0.75])
+    plain = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    row = df.agg(*[f(F.col(c).cast("double")).alias(f"{k}__{c}") for c in columns for k, f in plain.items()])
+
+    def line(c: str) -> Column:
+        quartiles = cuts.get(c, [None] * 3)
+        values = {k: F.col(f"{k}__{c}") for k in ("mean", "std", "min")}
+        values |= {q: F.lit(v).cast("double") for q, v in zip(("q25", "q50", "q75"), quartiles)}
+        values["max"] = F.col(f"max__{c}")
+        return F.struct(
+            F.lit(c).alias("variable"), F.col(f"n__{c}").alias("n"),
+            *[F.round(v, digits).alias(k) for k, v in values.items()],
+        )
+
+    return row.select(F.inline(F.array(*[line(c) for c in columns])))
 
 
 def equal_width_bin(x: Column, low: Column, high: Column, bins: int) -> Column:

@@ -61,6 +61,30 @@ def test_column_quantiles(spark, frame):
     assert got["v"][0] == pytest.approx(frame["v"].median()) and got["w"][0] == pytest.approx(frame["id"].median() * 2)
 
 
+@pytest.mark.parametrize("share", [0.001, 0.05, -1.0])
+def test_fenced_quantiles_are_exact(spark, monkeypatch, share):
+    """Also with fences that miss their ranks, which must then be found in full."""
+    from scoreloom.operators import ordered
+
+    monkeypatch.setattr(ordered, "FEW_VALUES", 10)
+    monkeypatch.setattr(ordered, "SKETCH_ACCURACY", 200)
+    monkeypatch.setattr(ordered, "FENCE_SHARE", share)
+    monkeypatch.setattr(ordered, "SKETCHED_AT_ONCE", 2)
+    rng = np.random.default_rng(5)
+    data = pd.DataFrame({
+        "normal": rng.normal(0, 9, 4000), "ties": rng.integers(0, 4, 4000) / 4, "constant": 3.0,
+        "hot": np.where(rng.random(4000) < 0.4, 7.0, rng.exponential(20, 4000)),
+    })
+    df = spark.createDataFrame(data).withColumn("empty", F.lit(None).cast("double"))
+    df = df.withColumn("holes", F.when(F.col("normal") > 0, F.col("normal")))
+    probabilities = [i / 10 for i in range(11)] + [0.333]
+    got = column_quantiles(df, [*data.columns, "empty", "holes"], probabilities)
+    assert set(got) == {*data.columns, "holes"}
+    data["holes"] = data["normal"].where(data["normal"] > 0)
+    for c in got:
+        assert np.allclose(got[c], np.quantile(data[c].dropna(), probabilities), rtol=0, atol=1e-9)
+
+
 def test_shuffled_rank_numbers_every_group(spark, frame):
     got = shuffled_rank(to_spark(spark, frame).repartition(5), ["id"], ["g"]).collect()
     again = {r["id"]: r["rank"] for r in shuffled_rank(to_spark(spark, frame).coalesce(1), ["id"], ["g"]).collect()}
