@@ -184,4 +184,4 @@ def drop_correlated(spark, folder):
 @register("auto_preprocess")
 def auto_preprocess(spark, folder):
     df = people(spark, folder).select("cust", "segment", "nation_text", "balance", "tier", "rare", "y")
-    return prep.auto_preprocess(df, "y", ["cust"], sample=1000).table
+    return prep.auto_preprocess(df, "y", ["cust"]).table

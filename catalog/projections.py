@@ -185,7 +185,7 @@ def late_flag(spark, folder):
 
 @register("age_in_cohort", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  CASE WHEN o_orderstatus = 'P' THEN NULL ELSE year(l_shipdate) - year(o_orderdate) END AS age
+  CAST(CASE WHEN o_orderstatus = 'P' THEN NULL ELSE year(l_shipdate) - year(o_orderdate) END AS INTEGER) AS age
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
 def age_in_cohort(spark, folder):
     o = table(spark, folder, "orders")
@@ -236,7 +236,8 @@ def rename_features_mapping(spark, folder):
 
 
 @register("narrow_types", """
-SELECT l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT)::DOUBLE AS l_quantity, l_partkey,
+SELECT CAST(l_orderkey AS INTEGER) AS l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT)::DOUBLE AS l_quantity,
+  CAST(l_partkey AS INTEGER) AS l_partkey,
   'int,int,float,int' AS types FROM lineitem""")
 def narrow_types_(spark, folder):
     df = narrow_types(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey"))

@@ -30,10 +30,27 @@ def write_partitioned(
 
 
 def save_table(
-    df: DataFrame, name: str, partition_by: Sequence[str] = ("SAFRA",), fmt: str = "parquet", **options: str
+    df: DataFrame,
+    name: str,
+    partition_by: Sequence[str] = ("SAFRA",),
+    fmt: str = "parquet",
+    buckets: int | None = None,
+    bucket_by: Sequence[str] = ("NUM_CPF",),
+    **options: str,
 ) -> None:
-    """Overwrite a catalog table; ``fmt`` and options (``overwriteSchema``, ``mergeSchema``) are the catalog's."""
-    df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).options(**options).saveAsTable(name)
+    """Overwrite a catalog table; ``fmt`` and options (``overwriteSchema``, ``mergeSchema``) are the catalog's.
+
+    With ``buckets`` every cohort is stored hashed by customer, so that later joins and books on that
+    key need no shuffle (joins on customer and cohort also need
+    ``spark.sql.requireAllClusterKeysForCoPartition=false``). Rows are brought into that layout first,
+    one file per cohort and bucket.
+    """
+    if buckets:
+        df = df.repartition(buckets, *bucket_by)
+    writer = df.write.format(fmt).mode("overwrite").partitionBy(*partition_by).options(**options)
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+    writer.saveAsTable(name)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -47,6 +47,22 @@ def test_catalog_table(spark):
     assert table_exists(spark, name) and spark.read.table(name).count() == 1
 
 
+def test_bucketed_tables_join_without_shuffle(spark):
+    data = [(i, 1 + i % 2, "x") for i in range(200)]
+    for name in ("scoreloom_left", "scoreloom_right"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        save_table(rows(spark, data), name, buckets=4, path=fresh_path(spark, name))
+    left, right = spark.read.table("scoreloom_left"), spark.read.table("scoreloom_right")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        joined = left.hint("merge").join(right, ["NUM_CPF", "SAFRA"])
+        assert joined.count() == 200
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.requireAllClusterKeysForCoPartition")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+
+
 def test_audit_and_counts(spark):
     path, df = fresh_path(spark, "audit"), rows(spark, [(1, 1, "a"), (2, 1, "b"), (3, 2, "c")])
     append_audit(df, "t", path)
