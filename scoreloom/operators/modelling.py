@@ -40,8 +40,16 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
-def classifier_pipeline(features: Sequence[str], classifier: Estimator, target: str) -> Pipeline:
-    return Pipeline(stages=[assembler(features), classifier.setFeaturesCol(FEATURES).setLabelCol(target)])
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for repeated passes: a table of fewer partitions than cores is dealt out once."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def fit_classifier(df: DataFrame, features: Sequence[str], classifier: Estimator, target: str) -> PipelineModel:
+    """Fit on the features and target only."""
+    rows = spread(df.select(*[F.col(f"`{c}`") for c in (*features, target)]))
+    return Pipeline(stages=[assembler(features), classifier.setFeaturesCol(FEATURES).setLabelCol(target)]).fit(rows)
 
 
 def scored(model: Transformer, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -62,7 +70,7 @@ def tree_bins(df: DataFrame, column: str, target: str, most: int = 5) -> DataFra
     depth = max(int(math.log2(most)), 1)
     rows = df.select(F.col(column).cast("double").alias(column), F.col(target).cast("double").alias(target)).dropna()
     tree = DecisionTreeClassifier(maxDepth=depth, leafCol="leaf", seed=SEED)
-    model = classifier_pipeline([column], tree, target).fit(rows)
+    model = fit_classifier(rows, [column], tree, target)
     leaves = model.transform(rows).groupBy("leaf").agg(
         F.avg(target).alias("event_rate"), F.count("*").alias("volume"), F.min(column).alias("_lo"),
         F.max(column).alias("upper_bound"),
@@ -112,7 +120,7 @@ def importance_selection(
 ) -> tuple[list[str], DataFrame]:
     """Features whose forest importance exceeds ``cutoff`` times the largest, and all importances."""
     forest = RandomForestClassifier(maxDepth=SELECTION_DEPTH, minInstancesPerNode=SELECTION_LEAF, numTrees=100, seed=0)
-    model = classifier_pipeline(features, forest, target).fit(df)
+    model = fit_classifier(df, features, forest, target)
     values = [float(x) for x in model.stages[-1].featureImportances.toArray()]
     limit = cutoff * max(values)
     chosen = [f for f, v in zip(features, values) if v > limit]
@@ -146,7 +154,7 @@ def algorithm_bakeoff(
     """Metrics of every algorithm on both sets. One model is fitted after the other."""
     out = None
     for name, algorithm in (algorithms or bakeoff_algorithms()).items():
-        model = classifier_pipeline(features, algorithm, target).fit(train)
+        model = fit_classifier(train, features, algorithm, target)
         found = set_metrics(both_sets(model, train, test, target), target).withColumn("algorithm", F.lit(name))
         out = found if out is None else out.unionByName(found)
     return out
@@ -200,7 +208,7 @@ def hyperparameter_search(
     execution properties in this Spark version and can fail by chance.
     """
     settings = list(settings or random_settings(trials))
-    rows = written(stratified_folds(df, target, keys, folds), "folds")
+    rows = spread(written(stratified_folds(df, target, keys, folds), "folds"))
     weighting = SQLTransformer(statement=_weighting(target, 1.0))
     gbt = GBTClassifier(weightCol="weight", featuresCol=FEATURES, labelCol=target, seed=SEED)
     pipeline = Pipeline(stages=[weighting, assembler(features), gbt])
@@ -288,7 +296,7 @@ def nested_model_comparison(
     out = None
     for name, features in feature_sets.items():
         gbt = GBTClassifier(seed=SEED, **(settings or {"maxIter": 20, "maxDepth": 5}))
-        model = classifier_pipeline(features, gbt, target).fit(train)
+        model = fit_classifier(train, features, gbt, target)
         found = set_metrics(both_sets(model, train, test, target), target).select(
             F.lit(name).alias("model"), F.lit(len(features)).alias("n_features"), "*"
         )

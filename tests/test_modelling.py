@@ -38,14 +38,14 @@ def test_scorecard_finds_the_signal(rows):
 def test_selection_and_permutation(rows):
     chosen, table = ml.importance_selection(rows, ["x", "z"], "y", 0.3)
     assert chosen == ["x"] and table.first()["feature"] == "x"
-    model = ml.classifier_pipeline(["x", "z"], DecisionTreeClassifier(maxDepth=2), "y").fit(rows)
+    model = ml.fit_classifier(rows, ["x", "z"], DecisionTreeClassifier(maxDepth=2), "y")
     losses = {r["feature"]: r["importance"] for r in ml.permutation_importance(model, rows, ["x", "z"], "y", ["id"], 2).collect()}
     assert losses["x"] > 0.1 > abs(losses["z"])
 
 
 def test_report_and_comparison(rows):
     train, test = rows.where("id % 2 = 0"), rows.where("id % 2 = 1")
-    model = ml.classifier_pipeline(["x"], DecisionTreeClassifier(maxDepth=2), "y").fit(train)
+    model = ml.fit_classifier(train, ["x"], DecisionTreeClassifier(maxDepth=2), "y")
     report = ml.model_report(model, train, test, ["x"], "y")
     kinds = {(r["set"], r["metric"]) for r in report.select("set", "metric").distinct().collect()}
     assert len(kinds) == 1 + 2 * 8
