@@ -20,7 +20,7 @@ WITH {PEOPLE}, m AS (SELECT avg(balance) AS b, avg(CASE WHEN tier <> 1 THEN tier
 SELECT cust, round(coalesce(balance, b), 6) AS balance, round(coalesce(CASE WHEN tier <> 1 THEN tier END, t), 6) AS tier
 FROM people, m""")
 def impute_mean(spark, folder):
-    """The marker is 1 here, the reference's is -1, which the given tables do not contain."""
+    """The marker is 1 here; the usual -1 does not occur in the given tables."""
     df = people(spark, folder).select("cust", "balance", "tier")
     return rounded(prep.fit_means(df, ["balance", "tier"], marker=1).apply(df), ["balance", "tier"])
 
