@@ -30,8 +30,9 @@ class Rules:
     least_words: int = 50
     most_repeated_words: int = 50  # percent of the words that lie in repeated 3-word windows
     most_line_share: float = 0.20
-    #: n-gram length and the largest share of characters in repeated n-grams of that length
-    most_gram_share: tuple[tuple[int, float], ...] = ((5, 0.15), (7, 0.13), (10, 0.10))
+    #: n-gram length and the largest share of characters in repeated n-grams of that length: twice the limits that
+    #: are common where, unlike here, the first occurrence does not count
+    most_gram_share: tuple[tuple[int, float], ...] = ((5, 0.30), (7, 0.26), (10, 0.20))
 
 
 def _per_text(amount: np.ndarray, at: np.ndarray) -> np.ndarray:

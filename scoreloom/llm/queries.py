@@ -1,4 +1,12 @@
 """Importing this module fills the register."""
 
-from scoreloom.llm import queries_quality  # noqa: F401
+from scoreloom.llm import (  # noqa: F401
+    queries_exact_dedup,
+    queries_minhash,
+    queries_pii,
+    queries_packing,
+    queries_quality,
+    queries_sharding,
+    queries_url_filter,
+)
 from scoreloom.llm.register import ORACLES, QUERIES  # noqa: F401

@@ -49,8 +49,8 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        CAST(dup_7gram_chars AS BIGINT) AS dup_7gram_chars, CAST(dup_10gram_chars AS BIGINT) AS dup_10gram_chars,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * dup_line_chars <= 20 * line_chars
-         AND 100 * dup_5gram_chars <= 15 * word_chars AND 100 * dup_7gram_chars <= 13 * word_chars
-         AND 100 * dup_10gram_chars <= 10 * word_chars AS kept
+         AND 100 * dup_5gram_chars <= 30 * word_chars AND 100 * dup_7gram_chars <= 26 * word_chars
+         AND 100 * dup_10gram_chars <= 20 * word_chars AS kept
 FROM m"""
 
 
