@@ -174,9 +174,8 @@ def masked(docs: DataFrame, text: str = "text", length: str | None = "n_chars")
         push,
         lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(body, acc["at"] + 1)),
     )
-    new = F.when(F.size(spans) > 0, whole).otherwise(F.col(f"`{text}`"))
-    rows = found(docs, text, out=name)
-    changed = {text: new}
+    rows = found(docs, text, out=name).withColumn(text, F.when(F.size(spans) > 0, whole).otherwise(F.col(f"`{text}`")))
     if length in docs.columns:
-        changed[length] = F.when(F.size(spans) > 0, F.length(whole).cast(docs.schema[length].dataType)).otherwise(F.col(f"`{length}`"))
-    return rows.select(*(changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns))
+        counted = F.length(F.col(f"`{text}`")).cast(docs.schema[length].dataType)
+        rows = rows.withColumn(length, F.when(F.size(spans) > 0, counted).otherwise(F.col(f"`{length}`")))
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -1,12 +1,19 @@
 """Importing this module fills the register."""
 
 from scoreloom.llm import (  # noqa: F401
+    queries_bpe,
     queries_exact_dedup,
+    queries_licenses,
     queries_minhash,
-    queries_pii,
     queries_packing,
+    queries_pii,
     queries_quality,
     queries_sharding,
+    queries_toxicity,
     queries_url_filter,
 )
-from scoreloom.llm.register import ORACLES, QUERIES  # noqa: F401
+from scoreloom.llm.register import ORACLES, QUERIES, register
+
+import corpus_pipeline  # isort: skip  (it uses the operators above)
+
+register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -10,8 +10,8 @@ Scoring. Every whole text is scored inside a task, with the weights in one table
 the characters of the lower-cased text in which any run of other characters than letters and digits is one blank, with a
 blank at both ends, so they see the ends of words. Only the text is an input of the score.
 
-An empty or null text holds no n-gram and has the score of the intercept. Without rows of both labels the score is the
-share of label 1, smoothed. Of several labels of one id the largest counts; null labels do not. Repeated rows are scored
+An empty or null text holds no n-gram and has the score of the intercept. Without rows of both labels, or without an
+n-gram that enough texts hold, the score is the share of label 1, smoothed. Of several labels of one id the largest counts; null labels do not. Repeated rows are scored
 each. Columns beside those named are not read.
 """
 
@@ -144,9 +144,10 @@ def fit(labelled: DataFrame, how: Training = Training()) -> Model:
     counts = written(_counts(rows), "ngram_counts")
     n0, n1 = counts.where("bucket = -1").agg(F.sum("n0"), F.sum("n1")).first()
     n0, n1 = n0 or 0, n1 or 0
+    share = (n1 + how.smoothing) / (n0 + n1 + 2 * how.smoothing)
+    nothing = Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
     if not n0 or not n1:
-        share = (n1 + how.smoothing) / (n0 + n1 + 2 * how.smoothing)
-        return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
+        return nothing
     a = how.smoothing
     ratio = F.log((F.col("n1") + a) / (n1 + 2 * a)) - F.log((F.col("n0") + a) / (n0 + 2 * a))
     spread = F.sqrt(1 / (F.col("n1") + a) + 1 / (F.col("n0") + a))
@@ -155,6 +156,8 @@ def fit(labelled: DataFrame, how: Training = Training()) -> Model:
         .select("bucket", ratio.alias("r"), F.abs(ratio / spread).alias("support"))
         .orderBy(F.desc("support"), "bucket").limit(how.most_features).orderBy("bucket").collect()
     )
+    if not chosen:
+        return nothing
     buckets, scale = np.array([c["bucket"] for c in chosen], np.int64), np.array([c["r"] for c in chosen])
     training = written(_vectors(rows, buckets, scale), "training_vectors")
     learner = LogisticRegression(
