@@ -6,10 +6,10 @@
    in the bins finds the first bin that fits in logarithmic time. Then the emptiest bins are cut up to fill gaps of
    others, so a group leaves about one sequence short.
 
-Tokens come from a vocabulary file of the tokenizers library, whose content goes to the tasks (one or two megabytes).
-A task remembers the ids of the stretches between spaces: a space before a character that is no white space always
-starts a new pre-token, so a text can be put together from such stretches. Texts with a space before other white space
-or at the end are tokenised whole. The memory holds a bounded number of stretches.
+Tokens come from a byte-level vocabulary file of the tokenizers library, whose content goes to the tasks (one or two
+megabytes). A task remembers the ids of pre-tokens, and those of the stretches between spaces: a space before a
+character that is no white space always starts a new pre-token, so a text can be put together from such stretches. Texts
+with a space before other white space or at the end are split whole. Both memories are bounded.
 
 A null text is empty; an empty text is the end id alone. Repeated rows are separate documents of the same id and are
 packed each. A null id is kept. An empty table gives an empty result. Columns beside the two named are not read.
@@ -17,27 +17,40 @@ packed each. A null id is kept. An empty table gives an empty result. Columns be
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from array import array
 from dataclasses import dataclass
-from heapq import heappop, heappush
+from heapq import heapify, heappop, heappush
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-REMEMBERED = 300_000  # stretches, of at most LONGEST characters
+REMEMBERED = 400_000  # entries of each memory, of at most LONGEST characters: some 80 MB
 LONGEST = 48
-TOGETHER = 400  # texts that are tokenised at a time
+TOGETHER = 400  # texts whose pieces leave a task at a time
 GROUP = 2000  # pieces in a group, about
 
+#: Fixed value: the pattern of byte-level pre-tokens, and the same for ASCII.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_WIDE = regex.compile(PATTERN)
+_ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _UNCLEAR = re.compile(r" (?=\s)| $")
-_known: dict[str, tuple] = {}
+_known: dict[str, Encoder] = {}
+
+
+def _byte_characters() -> dict[int, int]:
+    """The character that byte-level vocabularies write for each byte."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
 
 
 @dataclass(frozen=True)
@@ -52,6 +65,22 @@ def vocabulary(path: str) -> str:
         return f.read()
 
 
+class Memory(dict):
+    """What ``make`` makes of a text, remembered for short texts up to a bounded number."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make = make
+
+    def __missing__(self, text: str) -> bytes:
+        made = self.make(text)
+        if len(text) <= LONGEST:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[text] = made
+        return made
+
+
 class Encoder:
     """Ids of texts as packed little-endian numbers, by a tokenizers vocabulary."""
 
@@ -59,37 +88,26 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(vocabulary_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
-        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
-        self.memory: dict[str, bytes] = {}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [array(self.code, e.ids).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def batch(self, texts: list[str]) -> list[bytes]:
-        clear = [not _UNCLEAR.search(t) for t in texts]
-        stretches = [t.split(" ") if c else None for t, c in zip(texts, clear)]
-        whole = [t for t, c in zip(texts, clear) if not c]
-        heads = [s[0] for s in stretches if s]
-        new = set()
-        for s in stretches:
-            if s:
-                new.update(s[1:])
-        new = [x for x in new if x not in self.memory]
-        ids = self._encode([*whole, *heads, *(" " + x for x in new)])
-        rest = iter(ids[: len(whole)])
-        head = iter(ids[len(whole) : len(whole) + len(heads)])
-        memory = self.memory
-        memory.update(zip(new, ids[len(whole) + len(heads) :]))
-        out = [next(head) + b"".join(map(memory.__getitem__, s[1:])) if s else next(rest) for s in stretches]
-        for x in new:
-            if len(x) > LONGEST:
-                del memory[x]
-        if len(memory) > REMEMBERED:
-            memory.clear()
-        return out
+        tokenizer = Tokenizer.from_str(vocabulary_json)
+        code, characters, tokenize = "H" if tokenizer.get_vocab_size() <= 1 << 16 else "I", _byte_characters(), tokenizer.model.tokenize
+        self.dtype = np.dtype("<u2" if code == "H" else "<u4")
+
+        def piece(text: str) -> bytes:
+            written = text.encode().decode("latin-1").translate(characters)
+            return array(code, [t.id for t in tokenize(written)]).tobytes()
+
+        self.pieces = Memory(piece)
+        self.stretches = Memory(lambda text: self._split(" " + text))
+
+    def _split(self, text: str) -> bytes:
+        """The ids of a text by its pre-tokens."""
+        return b"".join(map(self.pieces.__getitem__, (_ASCII if text.isascii() else _WIDE).findall(text)))
+
+    def encode(self, text: str) -> bytes:
+        if _UNCLEAR.search(text):
+            return self._split(text)
+        first, *others = text.split(" ")
+        return self._split(first) + b"".join(map(self.stretches.__getitem__, others))
 
 
 def encoder(vocabulary_json: str) -> Encoder:
@@ -126,36 +144,33 @@ def filled(sizes: list[int], bins: list[int], capacity: int, least: int) -> list
     content: dict[int, list[tuple[int, int, int]]] = {}
     for item, b in enumerate(bins):
         content.setdefault(b, []).append((item, 0, sizes[item]))
-    fill = {b: sum(n for _, _, n in pieces) for b, pieces in content.items()}
-    gaps = [(f - capacity, b) for b, f in fill.items() if capacity - f >= least]  # largest gap first
-    gaps.sort()
+    free = {b: capacity - sum(n for _, _, n in pieces) for b, pieces in content.items()}
+    gaps = [(-f, b) for b, f in free.items() if f >= least]  # the largest first; an entry counts while it is current
+    heapify(gaps)
     room = -sum(g for g, _ in gaps)
-    for b in sorted(fill, key=lambda b: (fill[b], b)):
-        own = capacity - fill[b]
-        if own < least or room - own < fill[b]:
+    while gaps:
+        gap, b = heappop(gaps)
+        if free[b] != -gap:
+            continue
+        if room < capacity + least * len(content[b]):  # the others' gaps may not hold what is in the emptiest bin
             break
-        room -= own + fill[b]
-        gaps.remove((-own, b)) if (-own, b) in gaps else None
-        pieces, done = content.pop(b), False
-        while pieces:
-            item, first, n = pieces.pop()
+        room += gap
+        free[b] = 0
+        for item, first, n in content.pop(b):
             while n:
-                if not gaps:
-                    done = True
-                    break
                 gap, other = heappop(gaps)
+                if free[other] != -gap:
+                    continue
                 part = min(n, -gap)
                 content[other].append((item, first, part))
-                fill[other] += part
                 first, n = first + part, n - part
-                if -gap - part >= least:
-                    heappush(gaps, (gap + part, other))
+                free[other] += -part
+                room -= part
+                if free[other] >= least:
+                    heappush(gaps, (-free[other], other))
                 else:
-                    room -= -gap - part
-            if done:
-                content.setdefault(b, []).append((item, first, n))
-        if done:
-            break
+                    room -= free[other]
+                    free[other] = 0
     return list(content.values())
 
 
@@ -176,12 +191,19 @@ def packed(
         enc = encoder(shared.value)
         width, end = enc.dtype.itemsize * into.length, np.array([into.end_id], enc.dtype).tobytes()
         random = np.random.Generator(np.random.PCG64(TaskContext.get().partitionId()))
+        gc.disable()  # strings and bytes have no cycles, and the memories are large to walk
+        try:
+            yield from cut_batches(batches, enc, width, end, random)
+        finally:
+            gc.enable()
+
+    def cut_batches(batches, enc, width, end, random):
         for batch in batches:
             for at in range(0, batch.num_rows, TOGETHER):
                 part = batch.slice(at, TOGETHER)
                 take, count, start, ids = [], [], [], []
-                for i, coded in enumerate(enc.batch([t or "" for t in part.column(1).to_pylist()])):
-                    coded += end
+                for i, text in enumerate(part.column(1).to_pylist()):
+                    coded = enc.encode(text or "") + end
                     cuts = range(0, len(coded), width)
                     ids += [coded[c : c + width] for c in cuts]
                     start += [c // enc.dtype.itemsize for c in cuts]
