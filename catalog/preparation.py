@@ -181,7 +181,11 @@ def drop_correlated(spark, folder):
     return df.drop(*prep.correlated(df, ["qty", "score", "disc", "qty_twice"], 0.5))
 
 
-@register("auto_preprocess")
+@register("auto_preprocess", f"""
+WITH {PEOPLE}, m AS (SELECT avg(balance) AS balance, avg(tier) AS tier FROM people)
+SELECT cust, y, round(coalesce(people.balance, m.balance), 6) AS balance, round(coalesce(people.tier, m.tier), 6) AS tier FROM people, m""")
 def auto_preprocess(spark, folder):
+    """``rare`` is mostly NULL and the encoded texts hardly vary, so both numbers are left of all columns, in every row."""
     df = people(spark, folder).select("cust", "segment", "nation_text", "balance", "tier", "rare", "y")
-    return prep.auto_preprocess(df, "y", ["cust"]).table
+    table = prep.auto_preprocess(df, "y", ["cust"]).table
+    return table.withColumns({c: F.round(c, 6) for c in ("balance", "tier")})

@@ -48,14 +48,16 @@ def cumulative_gain_curve(spark, folder):
 
 @register("roc_curve", f"""
 WITH {EVENTS}, {curve_sql('ev')} SELECT score AS threshold, {as_double('cum_n - cum_pos', 'all_n - all_pos')} AS fpr,
-  {as_double('cum_pos', 'all_pos')} AS tpr FROM curve""")
+  {as_double('cum_pos', 'all_pos')} AS tpr FROM curve
+UNION ALL SELECT 'infinity'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE""")
 def roc_curve(spark, folder):
     return metrics.roc_curve(event_scores(spark, folder), "score", "y")
 
 
 @register("pr_curve", f"""
 WITH {EVENTS}, {curve_sql('ev')} SELECT score AS threshold, {as_double('cum_pos', 'cum_n')} AS precision,
-  {as_double('cum_pos', 'all_pos')} AS recall FROM curve""")
+  {as_double('cum_pos', 'all_pos')} AS recall FROM curve
+UNION ALL SELECT 'infinity'::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE""")
 def pr_curve(spark, folder):
     return metrics.pr_curve(event_scores(spark, folder), "score", "y")
 

@@ -73,22 +73,29 @@ def ks_gini_by_cohort(df: DataFrame, score: str, target: str, cohort: str) -> Da
 
 
 def roc_curve(df: DataFrame, score: str, target: str) -> DataFrame:
-    """False and true positive rate at every distinct threshold (predict 1 from the threshold up)."""
+    """False and true positive rate at every distinct threshold (predict 1 from the threshold up).
+
+    The curve begins at (0, 0), where the threshold is infinite.
+    """
     t = score_totals(df, score, target)
     others = _ratio(F.col("cum__n") - F.col("cum__pos"), F.col("all__n") - F.col("all__pos"))
-    return t.select(
+    curve = t.select(
         F.col("_score").alias("threshold"), others.alias("fpr"),
         _ratio(F.col("cum__pos"), F.col("all__pos")).alias("tpr"),
     )
+    start = df.sparkSession.range(1).select(*[F.lit(v).alias(c) for c, v in (("threshold", float("inf")), ("fpr", 0.0), ("tpr", 0.0))])
+    return curve.unionByName(start)
 
 
 def pr_curve(df: DataFrame, score: str, target: str) -> DataFrame:
-    """Precision and recall at every distinct threshold."""
-    return score_totals(df, score, target).select(
+    """Precision and recall at every distinct threshold; the curve ends at recall 0, precision 1."""
+    curve = score_totals(df, score, target).select(
         F.col("_score").alias("threshold"),
         _ratio(F.col("cum__pos"), F.col("cum__n")).alias("precision"),
         _ratio(F.col("cum__pos"), F.col("all__pos")).alias("recall"),
     )
+    end = df.sparkSession.range(1).select(*[F.lit(v).alias(c) for c, v in (("threshold", float("inf")), ("precision", 1.0), ("recall", 0.0))])
+    return curve.unionByName(end)
 
 
 def normalized_gini(df: DataFrame, score: str, target: str) -> DataFrame:

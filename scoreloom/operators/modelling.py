@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+from heapq import heappop, heappush
+from itertools import accumulate
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.scalars import score_points, tie_jitter
 from scoreloom.operators import metrics
-from scoreloom.operators.banding import quantile_bands
-from scoreloom.operators.ordered import shuffled_rank
+from scoreloom.operators.banding import band_above, quantile_bands
+from scoreloom.operators.ordered import column_quantiles, shuffled_rank
 from scoreloom.operators.profile import target_distribution
 from scoreloom.operators.sampling import stratified_folds
 from scoreloom.session import written
@@ -34,21 +36,28 @@ FEATURES, PROBABILITY = "features", "p"
 SELECTION_DEPTH, SELECTION_LEAF = 5, 2
 BAKEOFF_DEPTH, BAKEOFF_LEAF = 7, 3
 BETA, FOLDS, TRIALS, SEED = 1.3, 5, 100, 42
+PARTITIONS = 16
 
 
 def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES, handleInvalid="keep")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for repeated passes: a table of fewer partitions than cores is dealt out once."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+def laid_out(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """Training rows in a fixed number of partitions by their content, sorted within each.
+
+    The learners draw their samples partition by partition, so a fit depends on the rows alone and not on the
+    cluster or on how the table was read. ``partitions`` should suit the table and stay the same for it.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    return df.repartition(partitions, F.xxhash64(*columns)).sortWithinPartitions(*columns)
 
 
-def fit_classifier(df: DataFrame, features: Sequence[str], classifier: Estimator, target: str) -> PipelineModel:
+def fit_classifier(
+    df: DataFrame, features: Sequence[str], classifier: Estimator, target: str, partitions: int = PARTITIONS
+) -> PipelineModel:
     """Fit on the features and target only."""
-    rows = spread(df.select(*[F.col(f"`{c}`") for c in (*features, target)]))
+    rows = laid_out(df.select(*[F.col(f"`{c}`") for c in (*features, target)]), partitions)
     return Pipeline(stages=[assembler(features), classifier.setFeaturesCol(FEATURES).setLabelCol(target)]).fit(rows)
 
 
@@ -62,32 +71,44 @@ def scored(model: Transformer, df: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 # --- supervised bins and scorecard ------------------------------------------------------------------
 
-def tree_bins(df: DataFrame, column: str, target: str, most: int = 5) -> DataFrame:
+def tree_bins(df: DataFrame, column: str, target: str, most: int = 5, candidates: int = 256) -> DataFrame:
     """Bins of one numeric column by a decision tree: event rate, volume, bounds from -inf to inf.
 
-    The depth is chosen so that no more than ``most`` leaves can arise.
+    The tree grows best split first until it has ``most`` leaves, or no split lowers the Gini impurity. Rows are
+    reduced to counts between up to ``candidates`` quantiles, so every cut is tried if there are no more values
+    than that; bounds lie half-way between neighbouring values.
     """
-    depth = max(int(math.log2(most)), 1)
-    rows = df.select(F.col(column).cast("double").alias(column), F.col(target).cast("double").alias(target)).dropna()
-    tree = DecisionTreeClassifier(maxDepth=depth, leafCol="leaf", seed=SEED)
-    model = fit_classifier(rows, [column], tree, target)
-    leaves = model.transform(rows).groupBy("leaf").agg(
-        F.avg(target).alias("event_rate"), F.count("*").alias("volume"), F.min(column).alias("_lo"),
-        F.max(column).alias("upper_bound"),
+    rows = df.select(F.col(column).cast("double").alias("x"), F.col(target).cast("double").alias("y")).dropna()
+    edges = sorted(set(column_quantiles(rows, ["x"], [i / candidates for i in range(candidates + 1)]).get("x", [])))
+    counts = rows.groupBy(band_above(F.col("x"), [float("-inf"), *edges, float("inf")]).alias("band")).agg(
+        F.count("*").alias("n"), F.sum("y").alias("pos"), F.min("x").alias("low"), F.max("x").alias("high")
     )
-    found = sorted(leaves.collect(), key=lambda r: r["_lo"])  # one row per leaf
-    last = len(found) - 1
+    cells = sorted(counts.collect(), key=lambda r: r["low"])  # at most one row per candidate
+    schema = "bin int, event_rate double, volume bigint, lower_bound double, upper_bound double"
+    n, pos = ([0, *accumulate(r[c] for r in cells)] for c in ("n", "pos"))
+
+    def impurity(i: int, j: int) -> float:
+        rows, events = n[j] - n[i], pos[j] - pos[i]
+        return 2 * events * (rows - events) / rows if rows else 0.0
+
+    def best(i: int, j: int) -> tuple[float, int, int, int]:
+        """The largest gain, negated, in cells i to j, and the first cut that has it."""
+        gains = [(impurity(i, k) + impurity(k, j) - impurity(i, j), k, i, j) for k in range(i + 1, j)]
+        return min(gains, default=(0.0, 0, i, j))
+
+    leaves, done = [best(0, len(cells))], []
+    while leaves and len(leaves) + len(done) < most:
+        gain, k, i, j = heappop(leaves)
+        if gain < -1e-9:
+            heappush(leaves, best(i, k))
+            heappush(leaves, best(k, j))
+        else:
+            done.append((gain, k, i, j))
+    spans = sorted((i, j) for _, _, i, j in [*leaves, *done] if j > i)
+    cut = [float("-inf"), *((cells[i - 1]["high"] + cells[i]["low"]) / 2 for i, _ in spans[1:]), float("inf")]
     table = [
-        (
-            i,
-            r["event_rate"],
-            r["volume"],
-            float("-inf") if i == 0 else max(r["_lo"], found[i - 1]["upper_bound"]),
-            float("inf") if i == last else r["upper_bound"],
-        )
-        for i, r in enumerate(found)
+        (b, (pos[j] - pos[i]) / (n[j] - n[i]), n[j] - n[i], cut[b], cut[b + 1]) for b, (i, j) in enumerate(spans)
     ]
-    schema = "bin int, event_rate double, volume bigint, lower_bound double, upper_bound double"
     return df.sparkSession.createDataFrame(table, schema)
 
 
@@ -208,7 +229,7 @@ def hyperparameter_search(
     execution properties in this Spark version and can fail by chance.
     """
     settings = list(settings or random_settings(trials))
-    rows = spread(written(stratified_folds(df, target, keys, folds), "folds"))
+    rows = laid_out(written(stratified_folds(df, target, keys, folds), "folds"))
     weighting = SQLTransformer(statement=_weighting(target, 1.0))
     gbt = GBTClassifier(weightCol="weight", featuresCol=FEATURES, labelCol=target, seed=SEED)
     pipeline = Pipeline(stages=[weighting, assembler(features), gbt])
@@ -276,7 +297,7 @@ def permutation_importance(
 
     base = precision(df)
     losses: dict[str, list[float]] = {f: [] for f in features}
-    own = shuffled_rank(df.select(*keys, *features, target), keys, seed=seed)
+    own = written(shuffled_rank(df.select(*keys, *features, target), keys, seed=seed), "ranked")
     for repeat in range(1, repeats + 1):
         other = shuffled_rank(df.select(*keys, *features), keys, seed=seed + repeat)
         other = other.select("rank", *[F.col(f).alias(f"_s_{f}") for f in features])

@@ -18,9 +18,6 @@ from scoreloom.functions.scalars import hash_text
 from scoreloom.session import written
 
 ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 10_000
-# A side of a join is broadcast up to this many cells, some 40 MB of numbers.
-BROADCAST_CELLS = 5_000_000
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -30,16 +27,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def join_small(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """The same with an already written ``right``, sent to all tasks only if it is counted small.
-
-    Beyond that it is an ordinary join, whose hot keys adaptive execution splits.
-    """
-    if right.count() * max(len(right.columns), 1) <= BROADCAST_CELLS:
-        right = F.broadcast(right)
-    return null_safe_join(left, right, keys, how)
-
-
 def value_sums(df: DataFrame, value: str, sums: Mapping[str, Column], groups: Sequence[str] = ()) -> DataFrame:
     """One written row per group and distinct value with the given sums; NULL values are left out."""
     rows = df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).cast("double").alias(value))
@@ -61,7 +48,7 @@ def running_totals_of(
     sums (``_in_*``) and ``all_*``; the others are then neither shuffled nor sorted.
     """
     groups, names = list(groups), list(names)
-    buckets = min(max(ceil(reduced.count() / rows_per_bucket), 1), MAX_BUCKETS)
+    buckets = max(ceil(reduced.count() / rows_per_bucket), 1)
     cuts: list[float] = []
     if buckets > 1:
         probabilities = [i / buckets for i in range(1, buckets)]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.functions.scalars import hash_text, remap, round_to_category
-from scoreloom.operators.ordered import column_quantiles, join_small, null_safe_join
+from scoreloom.operators.ordered import column_quantiles, null_safe_join
 from scoreloom.operators.profile import (
     category_columns,
     drop_high_null_columns,
@@ -73,7 +73,7 @@ def apply_domain(df: DataFrame, domains: DataFrame, column: str) -> DataFrame:
     """Replace ``column`` by ``TFB_<column>``; categories unknown to ``domains`` keep their own name."""
     name = f"TFB_{column}"
     keyed = df.withColumn(column, as_category(df, column))
-    joined = join_small(keyed, written(domains.dropna(subset=[column]), "domains"), [column], "left")
+    joined = null_safe_join(keyed, written(domains.dropna(subset=[column]), "domains"), [column], "left")
     return joined.withColumn(name, F.coalesce(F.col(name), F.col(column))).drop(column)
 
 
@@ -170,15 +170,18 @@ class OneHot:
         return df.select(*kept, *[F.when(F.col(c) == v, 1).otherwise(0).alias(n) for c, v, n in self.flags()])
 
 
-def fit_one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False, most: int = 1000) -> OneHot:
-    """Sorted categories of each column; a column beyond ``most`` values is refused, not cut short."""
+def one_hot_long(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The ones of a one-hot encoding as rows ``keys, feature``, for columns of any number of categories."""
+    rows = long_text(df, columns, keys).where(F.col("value").isNotNull())
+    return rows.select(*keys, F.concat_ws("_", "variable", "value").alias("feature"))
+
+
+def fit_one_hot(df: DataFrame, columns: Sequence[str], drop_first: bool = False) -> OneHot:
+    """Sorted categories of each column. Each becomes a column of the result, so this is for the columns that
+    ``route_by_cardinality`` sends here; ``one_hot_long`` holds any number."""
     if not columns:
         return OneHot({}, drop_first)
     values = long_text(df, columns).where(F.col("value").isNotNull()).distinct()
-    sizes = {r["variable"]: r["count"] for r in values.groupBy("variable").count().collect()}
-    wide = [c for c in columns if sizes.get(c, 0) > most]
-    if wide:
-        raise ValueError(f"too many categories for one column each: {wide}; use target encoding")
     found: dict[str, list[str]] = {c: [] for c in columns}
     for r in values.orderBy("variable", "value").collect():
         found[r["variable"]].append(r["value"])
@@ -208,7 +211,7 @@ class TargetEncoding:
         out = df
         for c, found in self.tables.items():
             keyed = found.select(F.col("category").alias(c), F.col("encoded").alias("_encoded"))
-            joined = join_small(out, keyed, [c], "left")
+            joined = null_safe_join(out, keyed, [c], "left")
             out = joined.withColumn(c, F.coalesce("_encoded", F.lit(self.overall))).drop("_encoded")
         return out
 
@@ -272,7 +275,7 @@ def cross_fit_target_encode(
     table = written(
         others.select(F.col("category").alias(column), "_fold", encoded.alias(f"{column}_encoded")), "encoding"
     )
-    return join_small(rows, table, [column, "_fold"], "left").drop("_fold")
+    return null_safe_join(rows, table, [column, "_fold"], "left").drop("_fold")
 
 
 # --- scalers --------------------------------------------------------------------------------------
@@ -380,9 +383,13 @@ def auto_preprocess(
     most_correlation: float = 0.5,
     most_null_pct: float = 70,
     least_variance: float | None = 0.1,
-    sample: int | None = 85_000,
+    sample: int | None = None,
 ) -> AutoPrep:
-    """Null filter, imputation, target encoding, then low-variance and correlated columns dropped."""
+    """Null filter, imputation, target encoding, then low-variance and correlated columns dropped.
+
+    The table holds every row of ``df``. ``sample`` bounds the rows that values are fitted on; all rows count
+    by default, as each fit is an aggregate.
+    """
     rows = df if sample is None else written(downsample(df, sample, keys), "sample")
     features = rows.drop(target, *keys)
     metadata = metadata_profile(features)
@@ -390,10 +397,16 @@ def auto_preprocess(
     rows = rows.drop(*sparse)
     numbers = [c for c in numeric_columns(rows, [target, *keys])]
     texts = text_columns(rows, [target, *keys])
-    filled = fit_modes(rows, texts).apply(fit_means(rows, numbers, marker=None).apply(rows))
-    encoded = fit_target_encoding(filled, texts, target).apply(filled) if texts else filled
+    modes, means = fit_modes(rows, texts), fit_means(rows, numbers, marker=None)
+    encoding = fit_target_encoding(modes.apply(means.apply(rows)), texts, target) if texts else None
+
+    def prepared(part: DataFrame) -> DataFrame:
+        part = modes.apply(means.apply(part))
+        return encoding.apply(part) if encoding else part
+
+    encoded = prepared(rows)
     left = numbers + texts
     flat = low_variance(encoded, left, least_variance) if least_variance is not None else []
     left = [c for c in left if c not in flat]
     twins = correlated(encoded, left, most_correlation) if len(left) > 1 else []
-    return AutoPrep(encoded.drop(*flat, *twins), flat + twins, metadata)
+    return AutoPrep(prepared(df.drop(*sparse)).drop(*flat, *twins), flat + twins, metadata)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from scoreloom.operators.ordered import (
     column_quantiles,
-    join_small,
+    null_safe_join,
     long_numeric,
     quantiles_of,
     value_sums,
@@ -325,7 +325,7 @@ def box_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) ->
     )
     x, spread = F.col("value"), (F.col("q3") - F.col("q1")) * 1.5
     inside = (x >= F.col("q1") - spread) & (x <= F.col("q3") + spread)
-    return join_small(values, cuts, groups).groupBy(*groups, "q1", "median", "q3").agg(
+    return null_safe_join(values, cuts, groups).groupBy(*groups, "q1", "median", "q3").agg(
         F.min(F.when(inside, x)).alias("low_whisker"),
         F.max(F.when(inside, x)).alias("high_whisker"),
         F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("outliers"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from scoreloom.session import written
 from scoreloom.operators.banding import band_above, edges_between, equal_width_edges, quantile_edges
 from scoreloom.operators.profile import column_limits, equal_width_bin, long_text, numeric_columns, text_columns
 
@@ -150,7 +151,6 @@ def log_odds_r2(
     threshold: float = 0.85,
     clip: float | None = None,
     most_bins: int = 10,
-    most_categories: int = 1000,
 ) -> DataFrame:
     """How straight a line the log-odds follow over up to ten equal-width bins of each column.
 
@@ -187,12 +187,7 @@ def log_odds_r2(
         F.avg("_y").alias("rate"), F.avg("x").alias("x")
     )
     if texts:
-        sizes = points.where(F.col("variable").isin(texts)).groupBy("variable").count().collect()
-        wide = [r["variable"] for r in sizes if r["count"] > most_categories]
-        if wide:
-            raise ValueError(f"too many categories: {wide}")
-        position = F.row_number().over(Window.partitionBy("variable").orderBy("bin")) - 1
-        points = points.withColumn("x", F.coalesce(F.col("x"), position.cast("double")))
+        points = _with_positions(points)
     rate = F.col("rate")
     if clip is not None:
         rate = F.greatest(F.least(rate, F.lit(1 - clip)), F.lit(clip))
@@ -204,6 +199,21 @@ def log_odds_r2(
     return out.where("points >= 2").select("variable", "r2", advice.alias("advice"))
 
 
+def _with_positions(points: DataFrame) -> DataFrame:
+    """Fill ``x`` with the place of each category in its variable's order.
+
+    Categories are counted by their first two characters, which sort as the whole text does, and numbered within
+    them, so that no variable's categories are all sorted in one task.
+    """
+    points = written(points.withColumn("_start", F.substring("bin", 1, 2)), "categories")
+    before = Window.partitionBy("variable").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
+    counts = points.groupBy("variable", "_start").agg(F.count("*").alias("_n"))
+    offsets = counts.select("variable", "_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("variable", "_start").orderBy("bin")) - 1
+    placed = points.withColumn("_in", inside).join(offsets, ["variable", "_start"])
+    return placed.withColumn("x", F.coalesce("x", (F.col("_off") + F.col("_in")).cast("double"))).drop("_start", "_in", "_off")
+
+
 def _few_distinct(df: DataFrame, columns: Sequence[str], most: int) -> dict[str, int]:
     """Distinct count of columns that have at most ``most`` values; others do not appear."""
     rough = df.agg(*[F.approx_count_distinct(c, 0.02).alias(c) for c in columns]).first()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalars import days_between, late_flag
-from scoreloom.operators.books import BookSpec, Indicator, build_book
+from scoreloom.operators.books import BookSpec, Indicator, backfill, build_book
 from scoreloom.sources.sinks import append_audit, upsert_by_key
 
 # Values, indicators and aggregates of the three books.
@@ -83,7 +83,13 @@ def late_book(late: DataFrame, reference: int, run_stamp: int) -> DataFrame:
     return build_book(late, reference, LATE_BOOK, run_stamp)
 
 
-BUILDERS = {"book_pagamento": payment_book, "book_recarga": recharge_book, "book_atraso": late_book}
+def books(feed: DataFrame, book: str, references: Sequence[int], run_stamp: int) -> DataFrame:
+    """One book for several reference cohorts; the feed is read and reduced once for all of them."""
+    if book == PAYMENT_BOOK.name:
+        return backfill(payment_values(feed), references, PAYMENT_BOOK, run_stamp)
+    if book == RECHARGE_BOOK.name:
+        return backfill(feed, references, RECHARGE_BOOK, run_stamp, F.col("COD_PLATAFORMA_ATU") == PREPAID_PLATFORM)
+    return backfill(feed, references, LATE_BOOK, run_stamp)
 
 
 def book_job(
@@ -94,9 +100,7 @@ def book_job(
     run_stamp: int,
     references: Sequence[int] = BACKFILL_COHORTS,
 ) -> None:
-    """Build and upsert the book of each reference cohort, then count what was written."""
-    spark = feed.sparkSession
-    for reference in references:
-        upsert_by_key(BUILDERS[book](feed, reference, run_stamp), book_path)
-        stored = spark.read.parquet(book_path).where(F.col("SAFRA") == reference)
-        append_audit(stored, book, audit_path)
+    """Build the book of all reference cohorts, upsert them at once, then count what was written."""
+    upsert_by_key(books(feed, book, references, run_stamp), book_path, values=references)
+    stored = feed.sparkSession.read.parquet(book_path).where(F.col("SAFRA").isin(list(references)))
+    append_audit(stored, book, audit_path)

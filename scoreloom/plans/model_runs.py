@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from scoreloom.functions.cleaning import shifted
 from scoreloom.operators import modelling, policy
 from scoreloom.operators.assemble import KEYS, cohort_range, control_group, out_of_time, population, star_join, union_populations
+from scoreloom.operators.dedup import duplicate_key_count
+from scoreloom.operators.ordered import null_safe_join
 from scoreloom.operators.prep import Prep, fit_prep
 from scoreloom.operators.profile import drop_high_null_columns
 from scoreloom.operators.sampling import stratified_sample
@@ -22,6 +24,7 @@ from scoreloom.session import written
 IDS = ("NUM_CPF", "SAFRA", "FLAG_INSTALACAO", "PROD", "flag_mig2")
 TARGET = "FPD"
 REPEATED = ("rn", "DATPROC", "FLAG_INSTALACAO", "FPD", "PROD", "flag_mig2")
+SCORES = ("SCORE_01", "SCORE_02")
 LAST_COHORT, MONTHS_BACK = 202503, 5
 TRAIN, TEST = (202410, 202501), (202502, 202503)
 
@@ -34,7 +37,7 @@ class ModelRun:
     without: tuple[str, ...] = ()
     sample_by: str | None = None
     fractions: Mapping[int, float] = field(default_factory=dict)
-    most_nulls: float = 0.8
+    most_nulls: float = 0.7
 
 
 RUNS = (
@@ -47,7 +50,7 @@ RUNS = (
     ),
     ModelRun(
         "scores_telco_registration_recharge_late_payment",
-        ("telco", "registration", "recharge", "late", "payment"), 0.1, (), "FLAG_INSTALACAO", {1: 0.1},
+        ("telco", "registration", "recharge", "late", "payment"), 0.1, (), "FLAG_INSTALACAO", {1: 0.1}, 0.8,
     ),
 )
 
@@ -65,6 +68,7 @@ class Fitted:
     run: ModelRun
     prep: Prep
     selected: list[str]
+    bakeoff: DataFrame | None
     model: PipelineModel
     train: DataFrame
     test: DataFrame
@@ -83,9 +87,10 @@ class Fitted:
 
 def fit_run(
     bureau: DataFrame, tables: Mapping[str, DataFrame], run: ModelRun, trials: int = modelling.TRIALS,
-    folds: int = modelling.FOLDS, settings: Sequence[dict[str, float]] | None = None,
+    folds: int = modelling.FOLDS, settings: Sequence[dict[str, float]] | None = None, compare: bool = True,
 ) -> Fitted:
-    """Assemble, split out of time, sample, prepare on the training part, select features, search, fit."""
+    """Assemble, split out of time, sample, prepare on the training part, select features, compare three
+    algorithms (unless ``compare`` is off), search, fit."""
     rows = population(analysis_table(bureau, tables, run))
     if run.sample_by:
         rows = stratified_sample(rows, run.sample_by, run.fractions, KEYS)
@@ -95,8 +100,9 @@ def fit_run(
     train = written(prep.apply(train), "train")
     test = written(prep.apply(test.drop(*dropped)), "test")
     selected, _ = modelling.importance_selection(train, prep.features, TARGET, run.importance_cutoff)
+    bakeoff = modelling.algorithm_bakeoff(train, test, selected, TARGET) if compare else None
     found = modelling.hyperparameter_search(train, selected, TARGET, KEYS, trials, folds, settings)
-    return Fitted(run, prep, selected, found.model, train, test)
+    return Fitted(run, prep, selected, bakeoff, found.model, train, test)
 
 
 def score_all(bureau: DataFrame, tables: Mapping[str, DataFrame], fitted: Fitted) -> DataFrame:
@@ -104,10 +110,13 @@ def score_all(bureau: DataFrame, tables: Mapping[str, DataFrame], fitted: Fitted
     everyone = analysis_table(bureau, tables, fitted.run)
     parts = []
     for flag in (1, 0):
-        rows = fitted.prep.apply(everyone.where(F.col("FLAG_INSTALACAO") == flag))
+        rows = everyone.where(F.col("FLAG_INSTALACAO") == flag)
         keep = ["FLAG_INSTALACAO", *([TARGET] if flag else [])]
-        parts.append(modelling.score_population(fitted.model, rows, KEYS, keep))
-    columns = [*KEYS, "FLAG_INSTALACAO", TARGET, modelling.PROBABILITY, "points", "band"]
+        found = modelling.score_population(fitted.model, fitted.prep.apply(rows), KEYS, keep)
+        # The bureau scores as they came, not as they were prepared for the model.
+        raw = [F.col(c).cast("double").alias(c) for c in SCORES if c in rows.columns]
+        parts.append(null_safe_join(found, rows.select(*KEYS, *raw), KEYS, "left"))
+    columns = [*KEYS, "FLAG_INSTALACAO", TARGET, *[c for c in SCORES if c in everyone.columns], modelling.PROBABILITY, "points", "band"]
     return union_populations(parts, columns)
 
 
@@ -117,6 +126,10 @@ class SwapReport:
     default_rates: DataFrame
     groups: DataFrame
     risk: DataFrame
+    volumes: DataFrame
+    install_rates: DataFrame
+    bands: DataFrame
+    duplicates: DataFrame
 
 
 def swap_report(scored: DataFrame, bureau: DataFrame, threshold: float = policy.APPROVAL_POINTS) -> SwapReport:
@@ -128,4 +141,16 @@ def swap_report(scored: DataFrame, bureau: DataFrame, threshold: float = policy.
         policy.policy_default_rates(swapped),
         policy.swap_table(swapped),
         policy.risk_by_group(swapped, modelling.PROBABILITY),
+        policy.swap_volume(swapped),
+        policy.install_rates(control),
+        score_bands(swapped),
+        duplicate_key_count(swapped, KEYS),
+    )
+
+
+def score_bands(scored: DataFrame) -> DataFrame:
+    """Means of the bureau scores, the model's points and the default per band of approved and rejected customers."""
+    means = [c for c in (*SCORES, "points", TARGET) if c in scored.columns]
+    return scored.groupBy("FLAG_INSTALACAO", "band").agg(
+        F.count("*").alias("volume"), *[F.avg(c).alias(f"mean_{c}") for c in means]
     )

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scoreloom.session import fresh_path
@@ -54,9 +55,14 @@ def save_table(
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(hadoop_path)
+    """Whether there is a parquet table at ``path``."""
+    try:
+        spark.read.parquet(path).schema  # noqa: B018  (a Connect session looks only when asked)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -64,32 +70,46 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``source`` replace those of ``target`` with the same keys; the rest of both stays."""
-    kept = target.join(source.select(*keys).distinct(), list(keys), "left_anti")
-    return kept.unionByName(source, allowMissingColumns=True)
+    """Rows of ``source`` replace those of ``target`` with the same keys; the rest of both stays.
+
+    NULL keys are equal to each other. Both sides are read once: rows of one key meet in one group. A key that the
+    source holds twice is an error, as it would be in a MERGE.
+    """
+    both = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    new = F.sum("_new").over(Window.partitionBy(*keys))
+    twice = F.raise_error(F.lit("the source of an upsert holds a key twice")).cast("boolean")
+    both = both.withColumn("_news", new)
+    return both.where(F.when(F.col("_news") > 1, twice).otherwise((F.col("_new") == 1) | (F.col("_news") == 0))).drop("_new", "_news")
 
 
 def upsert_by_key(
-    source: DataFrame, path: str, keys: Sequence[str] = ("NUM_CPF", "SAFRA"), partition_by: str = "SAFRA"
+    source: DataFrame,
+    path: str,
+    keys: Sequence[str] = ("NUM_CPF", "SAFRA"),
+    partition_by: str = "SAFRA",
+    values: Sequence | None = None,
 ) -> None:
     """Update or insert ``source`` into a partitioned parquet table; repeating it changes nothing.
 
     ``partition_by`` must be one of ``keys``, so only partitions present in ``source`` can change.
     Those are rewritten to a staging folder first and only then replace the old ones: the target is
-    never read and overwritten at once, and a failed run can simply be repeated.
+    never read and overwritten at once, and a failed run can simply be repeated. ``values``: the
+    partitions that the source holds, where the caller knows them; it is then computed just once.
     """
     spark = source.sparkSession
     if partition_by not in keys:
         raise ValueError("the partition column must be part of the key")
     if not path_exists(spark, path):
-        write_partitioned(source, path, [partition_by])
+        write_partitioned(merged(source.limit(0), source, keys), path, [partition_by])
         return
-    # The source may be an expensive book: compute it once, then only read it.
-    incoming, result = fresh_path(spark, "incoming"), fresh_path(spark, "merged")
-    write_partitioned(source, incoming, [partition_by])
-    source = spark.read.parquet(incoming)
-    # One value per partition of the source, so that untouched partitions are not even listed.
-    values = [r[0] for r in source.select(partition_by).distinct().collect()]
+    result = fresh_path(spark, "merged")
+    if values is None:
+        # The source may be an expensive book: compute it once, then only read it.
+        incoming = fresh_path(spark, "incoming")
+        write_partitioned(source, incoming, [partition_by])
+        source = spark.read.schema(source.schema).parquet(incoming)
+        # One value per partition of the source, so that untouched partitions are not even listed.
+        values = [r[0] for r in source.select(partition_by).distinct().collect()]
     touched = F.col(partition_by).isin([v for v in values if v is not None])
     if None in values:
         touched = touched | F.col(partition_by).isNull()

@@ -43,6 +43,24 @@ def test_selection_and_permutation(rows):
     assert losses["x"] > 0.1 > abs(losses["z"])
 
 
+def test_fits_do_not_depend_on_partitions(rows):
+    found = [
+        [r["importance"] for r in ml.importance_selection(rows.repartition(n), ["x", "z"], "y", 0.3)[1].orderBy("feature").collect()]
+        for n in (4, 9)
+    ]
+    assert found[0] == found[1]
+
+
+def test_tree_bins_have_as_many_leaves_as_asked(spark):
+    data = [(float(x), int((x * 37 + k) % 10 < x)) for x in range(10) for k in range(40)]
+    df = spark.createDataFrame(data, "x double, y int")
+    for most in (2, 5, 7):
+        bins = ml.tree_bins(df, "x", "y", most).orderBy("bin").collect()
+        assert len(bins) == most and all(a["upper_bound"] == b["lower_bound"] for a, b in zip(bins, bins[1:]))
+    assert ml.tree_bins(df.where("x < 0"), "x", "y").count() == 0
+    assert ml.tree_bins(df.where("x = 1"), "x", "y").first()["volume"] == 40
+
+
 def test_report_and_comparison(rows):
     train, test = rows.where("id % 2 = 0"), rows.where("id % 2 = 1")
     model = ml.fit_classifier(train, ["x"], DecisionTreeClassifier(maxDepth=2), "y")
@@ -87,9 +105,15 @@ def test_whole_run(spark):
     r = swap.approvals.first()
     assert r["installed"] == 600 and r["baseline_approvals"] == pytest.approx(900)
     assert swap.risk.count() == swap.groups.count() and swap.default_rates.count() == 2
+    assert fitted.bakeoff.count() == 6 and swap.duplicates.first()[0] == 0
+    assert sum(r["n"] for r in swap.install_rates.collect()) == bureau.where("substr(NUM_CPF, 6, 2) IN ('ZZ', 'ZX')").count()
+    bands = swap.bands.collect()
+    assert sum(r["volume"] for r in bands) == 900 == sum(r["volume"] for r in swap.volumes.collect())
+    assert all(0 <= r["mean_SCORE_01"] < 1000 and 0 <= r["mean_points"] <= 1001 for r in bands)
 
 
 def test_runs_are_nested():
     sets = [set(r.tables) for r in model_runs.RUNS]
     assert len(sets) == 6 and all(a <= b for a, b in zip(sets, sets[1:]))
     assert model_runs.RUNS[0].without == ("SCORE_02",)
+    assert [r.most_nulls for r in model_runs.RUNS] == [0.7] * 5 + [0.8]

@@ -23,8 +23,8 @@ def test_one_hot_and_ordinal(spark):
     new = spark.createDataFrame([("zzz",), ("b.c",)], "c string")
     assert [tuple(r) for r in fitted.apply(new).collect()] == [(0, 0), (0, 1)]
     assert fitted.apply(new).columns == ["c_a", "c_b_c"]
-    with pytest.raises(ValueError):
-        prep.fit_one_hot(df, ["c"], most=1)
+    long = prep.one_hot_long(df.withColumn("k", prep.F.lit(1)), ["c"], ["k"])
+    assert sorted(r["feature"] for r in long.collect()) == ["c_a", "c_b.c"]
     known = prep.ordinal_encode(df.dropna(), {"c": ["b.c", "a"]})
     assert [r["c"] for r in known.collect()] == [1.0, 0.0]
     with pytest.raises(Exception):
@@ -89,7 +89,7 @@ def test_auto_preprocess(spark):
     rows = [(i, float(i), float(2 * i), None, f"k{i % 3}", int(i % 5 == 0)) for i in range(120)]
     df = spark.createDataFrame(rows, "id int, a double, b double, empty double, c string, y int")
     got = prep.auto_preprocess(df, "y", ["id"], sample=100)
-    assert got.table.count() == 100 and "empty" not in got.table.columns and "b" in got.dropped
+    assert got.table.count() == 120 and "empty" not in got.table.columns and "b" in got.dropped
     assert {r["feature"]: r["pct_nulls"] for r in got.metadata.collect()}["empty"] == 100.0
 
 

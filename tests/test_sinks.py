@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from scoreloom.operators.dedup import dedup_full_row, dedup_latest, duplicate_key_count
 from scoreloom.session import fresh_path
-from scoreloom.sources.sinks import append_audit, save_table, stage_counts, table_exists, upsert_by_key, write_partitioned
+from scoreloom.sources.sinks import append_audit, path_exists, save_table, stage_counts, table_exists, upsert_by_key, write_partitioned
 
 
 def rows(spark, data):
@@ -22,6 +23,18 @@ def test_upsert(spark):
         assert stored(spark, path) == [(1, 1, "a"), (2, 1, "c"), (3, 1, "d"), (3, 3, "e"), (9, 2, "z")]
 
 
+def test_upsert_with_null_keys(spark):
+    path = fresh_path(spark, "t")
+    source = rows(spark, [(None, 1, "a"), (4, None, "b"), (1, 1, "c")])
+    for values in (None, None, [1, None]):
+        upsert_by_key(source, path, values=values)
+        assert sorted(map(str, spark.read.parquet(path).collect())) == sorted(map(str, spark.read.parquet(path).distinct().collect()))
+        assert spark.read.parquet(path).count() == 3
+    with pytest.raises(Exception, match="twice"):
+        upsert_by_key(rows(spark, [(1, 1, "x"), (1, 1, "y")]), path)
+    assert path_exists(spark, path) and not path_exists(spark, path + "-none")
+
+
 def test_upsert_with_new_column(spark):
     path = fresh_path(spark, "t")
     upsert_by_key(rows(spark, [(1, 1, "a"), (2, 2, "b")]), path)
