@@ -4,16 +4,20 @@
    each are kept and packed. Bands of whole minima give the keys of the candidate search. A digest of the whole set
    joins texts with equal sets into one class, so copies, however many, are one row from here on.
 2. Candidates. Classes that share a band key are compared by counting equal lanes of their packed signatures; the count
-   is corrected for lanes that agree by chance. Pairs whose estimate is ``MARGIN`` below the threshold (more than five
-   standard errors) are dropped.
+   is corrected for lanes that agree by chance. Pairs whose estimate is over five standard errors below the threshold
+   are dropped.
 3. Confirmation. The remaining pairs are confirmed on the full sets, made again from both texts.
 4. Components of the confirmed links, by alternating star joins.
 
-Large buckets are not searched pair by pair. Round one compares every class of a bucket with the bucket's first class
-only; that resolves groups of copies of one text. Round two compares, in buckets that still hold several components,
-the classes of every component but the largest with all classes of other components. A pair is left out only when both
-ends are known to be in one component, so components are what all pairs would give, but for pairs that share no band:
-at the threshold of 0.85 with 25 bands of 5, fewer than one in a million.
+Large buckets are not searched pair by pair. Round one compares the classes of a bucket with its first class only, which
+resolves most groups of copies of one text. Round two deals what is left of buckets that still hold several components
+into random blocks of about ``BLOCK`` classes and compares within blocks; buckets of that size are then done. Round
+three takes the larger buckets that still hold several components, and compares every class outside a bucket's largest
+component with all its classes of other components: block against block in numpy, on signatures of ``LONG_HASHES``
+minima made for these classes alone, of which only the pairs near the threshold leave the task, each from the first band
+that both share. A pair is left out only when both ends are already in one component, so components are what all pairs
+would give, but for pairs that share no band: at the threshold of 0.85 with 25 bands of 5 rows, fewer than one in a
+million.
 
 Texts without words have no shingles and link with nothing; null is empty. Texts with fewer words than a shingle are one
 shingle. Repeated rows (equal id) are one node and keep one row each in ``linked``; ``near_copies_removed`` leaves one
@@ -40,10 +44,14 @@ LANES = 64 // BITS
 WORDS = HASHES // LANES  # 64-bit words of a packed signature
 LOW = int("1" * LANES, 16)  # the lowest bit of each lane
 MARGIN = 0.2
+LONG_HASHES = 2048
+LONG_MARGIN = 0.045
+BLOCK = 8
+LONG_BLOCK = 256
 
 _random = np.random.Generator(np.random.PCG64(9_176_263))
-MULTIPLY = _random.integers(0, 2**31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-FLIP = _random.integers(0, 2**32, HASHES, dtype=np.uint32)
+MULTIPLY = _random.integers(0, 2**31, LONG_HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+FLIP = _random.integers(0, 2**32, LONG_HASHES, dtype=np.uint32)
 
 
 @dataclass(frozen=True)
@@ -69,15 +77,15 @@ def shingles(data: np.ndarray, bounds: np.ndarray, words: int) -> list[np.ndarra
     return out
 
 
-def _minima(sets: list[np.ndarray]) -> np.ndarray:
+def minima(sets: list[np.ndarray], hashes: int = HASHES) -> np.ndarray:
     """The smallest of each hash function over each set that isn't empty: one row per set, one column per function."""
     filled = [s for s in sets if len(s)]
     if not filled:
-        return np.zeros((0, HASHES), np.uint32)
+        return np.zeros((0, hashes), np.uint32)
     flat = (np.concatenate(filled) >> U64(32)).astype(np.uint32)
     begin = np.concatenate([[0], np.cumsum([len(s) for s in filled])[:-1]])
-    out = np.empty((len(filled), HASHES), np.uint32)
-    for k in range(HASHES):
+    out = np.empty((len(filled), hashes), np.uint32)
+    for k in range(hashes):
         mixed = (flat ^ FLIP[k]) * MULTIPLY[k]
         mixed ^= mixed >> np.uint32(15)
         mixed *= np.uint32(0x85EBCA6B)
@@ -85,6 +93,12 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def packed(least: np.ndarray) -> np.ndarray:
+    """The low bits of minima, packed into 64-bit words."""
+    lanes = (least & np.uint32((1 << BITS) - 1)).astype(U64).reshape(len(least), -1, LANES)
+    return (lanes << (np.arange(LANES, dtype=U64) * U64(BITS))).sum(axis=2, dtype=U64)
+
+
 def _lists(flat: np.ndarray, have: np.ndarray) -> pa.Array:
     """A list column: a row of the matrix ``flat`` where ``have`` holds, else an empty list."""
     lengths = np.where(have, flat.shape[1], 0)
@@ -96,21 +110,19 @@ def measure(like: Likeness):
     def of(data: np.ndarray, bounds: np.ndarray) -> list:
         sets = shingles(data, bounds, like.words)
         sizes = np.array([len(s) for s in sets], np.int64)
-        minima, have = _minima(sets), sizes > 0
-        lanes = (minima & np.uint32((1 << BITS) - 1)).astype(U64).reshape(len(minima), WORDS, LANES)
-        packed = (lanes << (np.arange(LANES, dtype=U64) * U64(BITS))).sum(axis=2, dtype=U64)
-        keys = np.empty((len(minima), like.bands), U64)
+        least, have = minima(sets), sizes > 0
+        keys = np.empty((len(least), like.bands), U64)
         for b in range(like.bands):
-            key = np.full(len(minima), b + 1, U64)
+            key = np.full(len(least), b + 1, U64)
             for k in range(b * like.rows, (b + 1) * like.rows):
-                key = mix(key * U64(0x2545F4914F6CDD1D) + minima[:, k].astype(U64))
+                key = mix(key * U64(0x2545F4914F6CDD1D) + least[:, k].astype(U64))
             keys[:, b] = key
         digest = np.zeros((2, len(sets)), U64)
         for i, s in enumerate(sets):
             if len(s):
                 digest[0, i] = mix(s).sum(dtype=U64)
                 digest[1, i] = mix(s ^ U64(0xA5A5A5A5A5A5A5A5)).sum(dtype=U64) + U64(len(s))
-        return [sizes, digest[0].view(np.int64), digest[1].view(np.int64), _lists(packed, have), _lists(keys, have)]
+        return [sizes, digest[0].view(np.int64), digest[1].view(np.int64), _lists(packed(least), have), _lists(keys, have)]
 
     return of
 
@@ -138,8 +150,8 @@ def estimate(a: str, b: str):
 
 def confirmed(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     """The pairs ``(a, b)`` whose full shingle sets are alike enough. ``texts``: ``(id, text)``, one row per id."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    needed = written(texts.join(ends, "id", "left_semi"), "candidate_texts")
+    ends = pairs.select(F.col("a").alias("id")).distinct().unionByName(pairs.select(F.col("b").alias("id")).distinct())
+    needed = written(_of(texts, ends), "pair_texts")
     both = pairs.join(needed.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
         needed.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b"
     )
@@ -160,6 +172,11 @@ def confirmed(pairs: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(alike, schema)
 
 
+def _of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of some ids. The ids grow with the corpus, so they are not broadcast even where they are few."""
+    return texts.join(ids.distinct().hint("merge"), "id", "left_semi")
+
+
 def linked(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``key``, ``n_shingles``, ``component_id`` and ``kept``.
 
@@ -168,42 +185,52 @@ def linked(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", te
     rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
     signed = written(map_texts(rows, measure(like), FIELDS, carry=["id"], out="m").select("id", "m.*"), "signatures")
 
-    # a class: the texts with one set of shingles, named by their smallest id
-    sized = signed.where("n_shingles > 0 AND id IS NOT NULL")
-    of_class = written(sized.groupBy("h1", "h2").agg(F.min("id").alias("class")), "classes")
+    # a class: the texts with one set of shingles, named by their smallest id; their signatures are the same
     leaders = written(
-        signed.where("n_shingles > 0").join(of_class, [signed.h1 == of_class.h1, signed.h2 == of_class.h2, signed.id == of_class["class"]])
-        .select("class", "packed", "bands").dropDuplicates(["class"]),
-        "leaders",
+        signed.where("n_shingles > 0 AND id IS NOT NULL").groupBy("h1", "h2").agg(
+            F.min("id").alias("class"), F.first("packed").alias("packed"), F.first("bands").alias("bands")
+        ),
+        "classes",
     )
-    texts = rows.join(of_class.select(F.col("class").alias("id")), "id", "left_semi").dropDuplicates(["id"])
 
-    in_band = leaders.select("class", F.explode("bands").alias("band"))
+    in_band = leaders.select("class", F.posexplode("bands").alias("number", "band"))
     shared = in_band.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min("class").alias("first")).where("n > 1")
     members = written(in_band.join(shared.select("band", "first"), "band"), "members")
-    signature = leaders.select("class", "packed")
+    signature = leaders.select("class", F.col("packed").alias("lanes"))
+    candidates = members.select(F.col("class").alias("id"))
+    texts = written(_of(rows, candidates).dropDuplicates(["id"]), "candidate_texts")
 
-    def likely(pairs):
-        near = pairs.join(signature.select(F.col("class").alias("a"), F.col("packed").alias("pa")), "a").join(
-            signature.select(F.col("class").alias("b"), F.col("packed").alias("pb")), "b"
+    def checked(pairs):
+        near = pairs.join(signature.select(F.col("class").alias("a"), F.col("lanes").alias("pa")), "a").join(
+            signature.select(F.col("class").alias("b"), F.col("lanes").alias("pb")), "b"
         )
-        return near.where(estimate("pa", "pb") >= like.percent / 100 - MARGIN).select("a", "b")
+        near = near.where(estimate("pa", "pb") >= like.percent / 100 - MARGIN).select("a", "b")
+        return confirmed(written(near, "near"), texts, like)
 
-    to_first = members.where("class != first").select(F.col("first").alias("a"), F.col("class").alias("b")).distinct()
-    links = written(confirmed(likely(to_first), texts, like), "links")
-    grouped = _grouped(members, links)
-    rest = written(_unresolved(grouped), "unresolved")
-    if rest.take(1):
-        minor = rest.where("NOT main").select("band", F.col("class").alias("a"), F.col("component").alias("ca"))
-        other = rest.select("band", F.col("class").alias("b"), F.col("component").alias("cb"), "main")
-        pairs = (
-            minor.join(other, "band").where("ca != cb AND (main OR a < b)")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        )
-        links = links.unionByName(written(confirmed(likely(pairs), texts, like), "links"))
+    def joined_to(found, links):
+        known = found.select(F.col("class").alias("a"), F.col("component").alias("b"))
+        return components(known.unionByName(links)).withColumnRenamed("node", "class")
 
-    reached = components(links).withColumnRenamed("node", "class")
-    named = of_class.join(reached, "class", "left").select(
+    others = members.where("class != first")
+    links = checked(others.select(F.col("first").alias("a"), F.col("class").alias("b")).distinct())
+    found = components(links).withColumnRenamed("node", "class")
+
+    rest = written(_unresolved(others.select("band", "number", "class"), found), "unresolved")
+    if rest.take(1):
+        block = F.pmod(F.xxhash64("class", "band"), F.ceil(F.col("held") / BLOCK))
+        dealt = rest.withColumn("block", block).select("band", "block", "class", "component")
+        found = joined_to(found, checked(
+            dealt.select("band", "block", F.col("class").alias("a"), F.col("component").alias("ca"))
+            .join(dealt.select("band", "block", F.col("class").alias("b"), F.col("component").alias("cb")), ["band", "block"])
+            .where("ca != cb AND a < b").select("a", "b").distinct()
+        ))
+        large = rest.where(F.col("held") > BLOCK).select("band", "number", "class")
+        rest = written(_unresolved(large, found), "unresolved")
+        if rest.take(1):
+            near = written(_across_blocks(rest, leaders, texts, like), "near")
+            found = joined_to(found, confirmed(near, texts, like))
+
+    named = leaders.select("h1", "h2", "class").join(found, "class", "left").select(
         "h1", "h2", F.coalesce("component", "class").alias("component_id")
     )
     smallest = F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
@@ -213,19 +240,79 @@ def linked(docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", te
     )
 
 
-def _grouped(members: DataFrame, links: DataFrame) -> DataFrame:
-    """The members of each band bucket and the components they have so far."""
-    found = components(links).withColumnRenamed("node", "class")
-    return members.join(found, "class", "left").select("band", "class", F.coalesce("component", "class").alias("component"))
-
+def _unresolved(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The members of buckets that still hold several components, with their component and the number ``held``.
 
-def _unresolved(grouped: DataFrame) -> DataFrame:
-    """The members of buckets that hold several components; ``main``: those of the bucket's largest component."""
+    ``main`` marks the members of a bucket's largest component.
+    """
+    grouped = members.join(found, "class", "left").withColumn("component", F.coalesce("component", "class"))
     counts = grouped.groupBy("band", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = counts.groupBy("band").agg(
-        F.count(F.lit(1)).alias("held"), F.max(F.struct("n", "component"))["component"].alias("most")
-    ).where("held > 1")
-    return grouped.join(largest, "band").select("band", "class", "component", (F.col("component") == F.col("most")).alias("main"))
+        F.count(F.lit(1)).alias("parts"), F.sum("n").alias("held"), F.max(F.struct("n", "component"))["component"].alias("most")
+    ).where("parts > 1")
+    return grouped.join(largest, "band").select(
+        "band", "number", "class", "component", "held", (F.col("component") == F.col("most")).alias("main")
+    )
+
+
+def _across_blocks(rest: DataFrame, leaders: DataFrame, texts: DataFrame, like: Likeness) -> DataFrame:
+    """The pairs ``(a, b)`` of different components in one bucket that may be alike by their long signatures."""
+
+    def long_signature(data, bounds):
+        sets = shingles(data, bounds, like.words)
+        rows, have = iter(packed(minima(sets, LONG_HASHES))), [len(s) > 0 for s in sets]
+        return [pa.array([next(rows).tobytes() if h else None for h in have], pa.binary())]
+
+    needed = rest.select(F.col("class").alias("id")).distinct()
+    signed = map_texts(
+        _of(texts, needed), long_signature, [T.StructField("lanes", T.BinaryType())], carry=["id"], out="m"
+    ).select(F.col("id").alias("class"), "m.lanes")
+    signed = written(signed.join(leaders.select("class", "bands"), "class"), "long_signatures")
+    row = F.struct("class", F.xxhash64("component").alias("part"), F.col("main").cast("long").alias("main"), "lanes", "bands")
+    blocks = written(
+        rest.join(signed, "class")
+        .withColumn("block", F.pmod(F.xxhash64("class", "band"), F.ceil(F.col("held") / LONG_BLOCK)))
+        .groupBy("band", "number", "block", "main").agg(F.collect_list(row).alias("rows")),
+        "blocks",
+    )
+    left = blocks.where("NOT main").select("band", "number", F.col("rows").alias("x"))
+    right = blocks.select("band", F.col("rows").alias("y"))
+    least = like.percent / 100 - LONG_MARGIN
+    chance = 2.0**-BITS
+    most_differing = int(LONG_HASHES * (1 - (least * (1 - chance) + chance)))
+    low = U64(LOW)
+
+    def columns(rows: pa.ListScalar):
+        rows = rows.values
+        part = rows.field("part").to_numpy(zero_copy_only=False)
+        lanes = np.frombuffer(b"".join(rows.field("lanes").to_pylist()), U64).reshape(len(rows), -1)
+        bands = np.array(rows.field("bands").to_pylist(), np.int64)
+        return rows.field("class"), part, rows.field("main").to_numpy(zero_copy_only=False), lanes, bands
+
+    def compare(batches):
+        for batch in batches:
+            for number, x, y in zip(batch.column("number").to_pylist(), batch.column("x"), batch.column("y")):
+                ids, part, _, lanes, bands = columns(x)
+                others, other_part, other_main, other_lanes, other_bands = columns(y)
+                take, other_take = [], []
+                for i in range(len(ids)):
+                    # each of a pair's two orders is met unless one end is in the largest component: keep one
+                    able = (other_part != part[i]) & ((other_main == 1) | (other_part > part[i]))
+                    at = np.flatnonzero(able)
+                    differing = other_lanes[at] ^ lanes[i]
+                    differing |= differing >> U64(1)
+                    differing |= differing >> U64(2)
+                    at = at[np.bitwise_count(differing & low).sum(axis=1) <= most_differing]
+                    at = at[(other_bands[at] == bands[i]).argmax(axis=1) == number]  # the first band both share
+                    take += [i] * len(at)
+                    other_take += at.tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(take, pa.int64())), others.take(pa.array(other_take, pa.int64()))], names=["a", "b"]
+                )
+
+    kind = texts.schema["id"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    return left.join(right, "band").select("number", "x", "y").mapInArrow(compare, schema)
 
 
 def near_copies_removed(
