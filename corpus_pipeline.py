@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scoreloom.llm import exact_dedup, minhash, packing, pii, quality
 from scoreloom.llm.register import documents
@@ -34,10 +33,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    pieces = packing.packed(docs, packing.vocabulary(public_tokenizers.path(VOCABULARY)))
-    return pieces.select(
-        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
-    )
+    return packing.packed(docs, packing.vocabulary(public_tokenizers.path(VOCABULARY)))
 
 
 STAGES = [
