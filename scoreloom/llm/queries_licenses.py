@@ -10,4 +10,4 @@ from scoreloom.llm.register import documents, register
 def op6_licenses(spark, folder):
     # The documents' place in a tree of directories: source, language, file.
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    return scan(documents(spark, folder), path)
+    return scan(documents(spark, folder), path, all_terms=True)

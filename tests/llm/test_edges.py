@@ -383,3 +383,35 @@ def test_pipeline_on_odd_rows(spark, docs, none):
             at = at.cache()
             at.count()
         assert corpus_pipeline.STAGES[-1][1](spark, at, "").count() >= 0
+
+
+def test_common_words_weigh_little_in_windows(spark):
+    """A notice with one ordinary extra word keeps the real weight of that word, whether the tasks know it or not."""
+    from collections import Counter
+    from math import log, sqrt
+
+    texts = [(i, f"doc{i} und der und w{i % 7} " + "en " * (i % 5 > 1)) for i in range(3000)]
+    texts += [(3000, "Licensed under en the Apache License, Version 2.0"), (3001, "x Released under en MIT License y"),
+              (3002, "Released doc5 doc6 MIT License"), (3003, "Released under the MIT License")]
+    templates = {"Apache-2.0": ["Licensed under the Apache License, Version 2.0"], "MIT": ["Released under the MIT License"]}
+    words = lambda t: t.lower().replace(",", "").replace(".", " ").split()
+    df = Counter(w for _, t in texts for w in set(words(t)))
+    vector = lambda ws: {w: n * (log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in Counter(ws).items()}
+    size = lambda v: sqrt(sum(x * x for x in v.values()))
+
+    def best(text):
+        found = [(0.8, None)]
+        for name, (template,) in templates.items():
+            v, n = vector(words(template)), len(words(template))
+            for i in range(len(words(text)) - n + 1):
+                u = vector(words(text)[i : i + n])
+                found.append((sum(u[w] * v.get(w, 0) for w in u) / size(u) / size(v), name))
+        return max(found, key=lambda f: f[0])
+
+    want = {i: best(t) for i, t in texts[3000:]}
+    assert [want[i][1] for i in range(3000, 3004)] == ["Apache-2.0", "MIT", None, "MIT"]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    for known in (65_536, 3, 0):
+        got = {r.doc_id: r for r in licenses.scan(frame, F.lit("d/x"), templates=templates, all_terms=True, known_terms=known).where("doc_id >= 3000").collect()}
+        for i, (value, name) in want.items():
+            assert got[i].own_licence == name and got[i].cosine == (pytest.approx(value) if name else None)
