@@ -30,45 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_type
 
+from scoreloom.llm.licence_texts import TELLING, TEMPLATES
 from scoreloom.llm.words import FOLDED, map_texts, parts, run_hashes, runs
 from scoreloom.session import written
 
-# The wording of public licence notices and of the opening of licence files.
-TEMPLATES: dict[str, list[str]] = {
-    "AGPL-3.0": ["GNU Affero General Public License version 3"],
-    "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0",
-        "you may not use this file except in compliance with the License. You may obtain a copy of the License at"
-        " http://www.apache.org/licenses/LICENSE-2.0",
-    ],
-    "BSD-3-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
-        " the following conditions are met",
-    ],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0", "licensed under a Creative Commons Attribution 4.0 International License"],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0",
-        "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
-    ],
-    "CC-BY-SA-4.0": [
-        "Licensed under CC BY-SA 4.0",
-        "licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
-    ],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3"],
-    "ISC": [
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby"
-        " granted",
-    ],
-    "LGPL-3.0": ["GNU Lesser General Public License version 3"],
-    "MIT": [
-        "Released under the MIT License",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated"
-        " documentation files, to deal in the Software without restriction",
-    ],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain"],
-}
-
 KNOWN_TERMS = 65_536  # some one megabyte in each task
 FILE_NAME = r"(?i)^(licen[cs]e|copying|notice)([.\-_].*)?$"
 GAP = np.ones(256, bool)
@@ -131,7 +96,8 @@ class Weights:
     """
 
     def __init__(
-        self, templates: Mapping[str, list[str]], frequency: dict[int, int], rest: int, texts: int, settled: bool = False
+        self, templates: Mapping[str, list[str]], frequency: dict[int, int], rest: int, texts: int, settled: bool = False,
+        telling: Mapping[str, tuple] = TELLING,
     ):
         self.settled = settled
         weigh = lambda n: log((1 + texts) / (1 + n)) + 1
@@ -143,7 +109,8 @@ class Weights:
         #: The place of each known term in the templates' vocabulary; the last one for all others.
         self.place = np.array([place.get(int(t), len(place)) for t in self.known], np.int32)
         idf = np.array([weigh(frequency[t]) for t in vocabulary])
-        self.names, self.lengths, self.products, self.norms = [], [], [], []
+        self.names, self.lengths, self.products, self.norms, self.telling = [], [], [], [], []
+        squares = []
         for name in sorted(templates):
             for text in templates[name]:
                 found = terms(text)
@@ -153,6 +120,11 @@ class Weights:
                 self.lengths.append(len(found))
                 self.products.append(np.append(idf * vector, 0.0))
                 self.norms.append(sqrt(float((vector**2).sum())))
+                squares.append(np.append(vector**2, 0.0))
+                must, barred, beyond, before = (*telling.get(name, ("", "", 0)), "")[:4]
+                groups = [[h for x in group.split("|") for h in terms(x)] for group in must.split()]
+                self.telling.append((groups, terms(barred.replace("|", " ")), beyond, terms(before)))
+        self.squares = np.array(squares)
 
 
 def best_windows(weights: Weights, least: float):
@@ -170,9 +142,26 @@ def best_windows(weights: Weights, least: float):
         place = np.where(inside, weights.place[at], len(weights.products[0]) - 1)
         square = np.concatenate([[0], np.cumsum(idf**2)])
         able: dict[int, list[tuple[float, int, int]]] = {}
+        present = np.zeros(len(weights.products[0]))
+        present[place] = 1.0
+        possible = np.sqrt(weights.squares @ present) >= (least - 1e-6) * np.array(weights.norms)
+        stands: dict[int, np.ndarray] = {}  # where a telling term stands
+
+        def holds(term: int, low: int, high: int) -> bool:
+            if term not in stands:
+                stands[term] = np.flatnonzero(hashes == np.uint64(term))
+            k = np.searchsorted(stands[term], low)
+            return bool(k < len(stands[term]) and stands[term][k] < high)
+
+        def tells(template: int, i: int, row: int) -> bool:
+            groups, barred, beyond, before = weights.telling[template]
+            low, high = max(i - 40, int(ends[row])), min(i + weights.lengths[template] + beyond, int(ends[row + 1]))
+            listed = any(holds(t, i, high) for t in barred) or any(holds(t, low, i) for t in before)
+            return not listed and all(any(holds(t, i, high) for t in g) for g in groups)
+
         for template, length in enumerate(weights.lengths):
             n = len(hashes) - length + 1
-            if n <= 0:
+            if n <= 0 or not possible[template]:
                 continue
             dot = np.concatenate([[0], np.cumsum(weights.products[template][place])])
             most = (dot[length:] - dot[:n]) / np.sqrt(np.maximum(square[length:] - square[:n], 1e-9))
@@ -187,6 +176,8 @@ def best_windows(weights: Weights, least: float):
             for most, template, i in sorted(found):
                 if -most < highest - 1e-6:  # nor can the windows after it be better
                     break
+                if not tells(template, i, row):
+                    continue
                 length = weights.lengths[template]
                 window = slice(i, i + length)
                 term, first, tf = np.unique(hashes[window], return_index=True, return_counts=True)
@@ -270,6 +261,7 @@ def scan(
     file_share: float = 0.5,
     all_terms: bool = False,
     known_terms: int = KNOWN_TERMS,
+    telling: Mapping[str, tuple] = TELLING,
 ) -> DataFrame:
     """One row per row of ``docs``: ``key``, path, own licence and cosine, whether it is a licence file, the licence
     that holds and the directory it comes from (null: its own, or none).
@@ -284,7 +276,7 @@ def scan(
     vocabulary = {t for given in templates.values() for x in given for t in terms(x)}
     signed = [t - (1 << 64) if t >= 1 << 63 else t for t in vocabulary]
     own = {r["term"] % (1 << 64): r["n"] for r in counts.where(F.col("term").isin(signed)).collect()}
-    weights = Weights(templates, dict.fromkeys(vocabulary, 0) | frequent | own, rest, texts, not all_terms)
+    weights = Weights(templates, dict.fromkeys(vocabulary, 0) | frequent | own, rest, texts, not all_terms, telling)
     found = map_texts(rows, best_windows(weights, least), FIELDS, carry=["id", "path"], out="m")
     found = weighed(found, counts, texts, least)
     given = F.array(*(F.struct(F.lit(n).alias("name"), F.lit(k).alias("terms")) for n, k in zip(weights.names, weights.lengths)))

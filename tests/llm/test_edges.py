@@ -415,3 +415,38 @@ def test_common_words_weigh_little_in_windows(spark):
         got = {r.doc_id: r for r in licenses.scan(frame, F.lit("d/x"), templates=templates, all_terms=True, known_terms=known).where("doc_id >= 3000").collect()}
         for i, (value, name) in want.items():
             assert got[i].own_licence == name and got[i].cosine == (pytest.approx(value) if name else None)
+
+
+def test_headers_and_licence_files(spark):
+    """Standard headers, in comments too, and the files as they are published; versions and clauses told apart."""
+    import pathlib
+
+    header = "\n# ".join(["", "This {} is free software: you can redistribute it and/or modify", "it under the terms of the GNU {}General Public License as published by",
+                          "the Free Software Foundation, either version {} of the License, or", "(at your option) any later version.", ""])
+    clauses = ["Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+               "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer"
+               " in the documentation and/or other materials provided with the distribution."]
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+    third = " Neither the name of the holder nor the names of its contributors may be used to endorse or promote products derived from this software."
+    cases = [
+        ("GPL-3.0", header.format("program", "", "3")), ("GPL-2.0", header.format("program", "", "2")), ("LGPL-2.1", header.format("library", "Lesser ", "2.1")),
+        ("LGPL-3.0", header.format("library", "Lesser ", "3")), ("AGPL-3.0", header.format("program", "Affero ", "3")),
+        ("GPL-2.0", "licensed under the GNU General Public License, version 2"), ("GPL-3.0", "licensed under the GNU General Public License, version 3"),
+        ("BSD-2-Clause", bsd + " ".join(clauses)), ("BSD-3-Clause", bsd + " ".join(clauses) + third),
+        ("BSD-3-Clause", bsd + "1. " + clauses[0] + " 2. " + clauses[1] + " 3." + third),
+        ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+        ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"
+                    " https://www.eclipse.org/legal/epl-2.0/"),
+        (None, "licensed under the GNU General Public License, version"),
+    ]
+    folder = pathlib.Path("/usr/share/common-licenses")
+    for name, file in [("GPL-2.0", "GPL-2"), ("GPL-3.0", "GPL-3"), ("LGPL-2.0", "LGPL-2"), ("LGPL-2.1", "LGPL-2.1"), ("LGPL-3.0", "LGPL-3"), ("Apache-2.0", "Apache-2.0"),
+                       ("MPL-2.0", "MPL-2.0"), ("MPL-1.1", "MPL-1.1"), ("CC0-1.0", "CC0-1.0"), ("BSD-3-Clause", "BSD"), ("GFDL-1.3", "GFDL-1.3")]:
+        if (folder / file).exists():
+            cases.append((name, (folder / file).read_text()[:6000]))
+    rows = [(i, f"r{i}/LICENSE", f"{PROSE}\n{t}\n{PROSE}") for i, (_, t) in enumerate(cases)] + [(1000 + i, f"r{i}/a/b.py", PROSE) for i in range(len(cases))]
+    frame = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: r for r in licenses.scan(frame, F.col("path"), all_terms=True).collect()}
+    assert [got[i].own_licence for i in range(len(cases))] == [name for name, _ in cases]
+    assert all(got[1000 + i].licence == name for i, (name, _) in enumerate(cases))
