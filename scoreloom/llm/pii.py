@@ -1,7 +1,8 @@
 """Personal data: regular expressions propose, checksums confirm, context adjusts the score.
 
 For each kind a pattern proposes spans, leftmost and without overlap. A validator confirms or drops them: address parts
-up to 255, the Luhn sum for card numbers, the number of digits for phones, mod 97 for account numbers (IBAN). The score
+up to 255, the Luhn sum for card numbers, the number of digits for phones, mod 97 for account numbers (IBAN, whose length
+is that of their country, so a word that follows is never taken in). The score
 of a confirmed span is its kind's prior, raised where a context word stands within 40 characters. The kinds email, ip,
 card and phone are reported whatever their score; the further kinds iban and ssn only from ``LEAST_SCORE`` on, so a bare
 number of the form of an ssn counts in context only.
@@ -38,6 +39,23 @@ def _mod97(match: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), lambda rest, c: F.when(c == "", rest).otherwise(step(rest, c))) == 1
 
 
+#: The number of characters of each country's IBAN, by the registry and by the use of further countries.
+IBAN = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "AO CV GW LY MZ PT ST", 26: "DZ IR IS TR", 27: "BI CF CG CM DJ FR GA GQ GR IT KM MC MG MR SM TD",
+    28: "AL AZ BF BJ BY CI CY DO GT HN HU LB MA ML NE NI PL SN SV TG", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+    32: "LC", 33: "RU",
+}
+
+
+def _iban(countries: str, characters: int) -> str:
+    """Country, check digits and the rest, in blocks of four or without a blank."""
+    blocks, rest = divmod(characters - 4, 4)
+    last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+    return rf"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{blocks}}}{last}"
+
+
 #: kind: (a quick sign that a text may hold one, pattern, validator, prior, context words)
 KINDS = {
     "email": (
@@ -70,7 +88,7 @@ KINDS = {
     ),
     "iban": (
         lambda t: t.rlike("[A-Z]{2}[0-9]{2}"),
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+        rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(_iban(c, n) for n, c in IBAN.items())})(?![A-Za-z0-9])",
         _mod97,
         0.7,
         "iban|account|bank|konto|cuenta|compte",

@@ -450,3 +450,14 @@ def test_headers_and_licence_files(spark):
     got = {r.doc_id: r for r in licenses.scan(frame, F.col("path"), all_terms=True).collect()}
     assert [got[i].own_licence for i in range(len(cases))] == [name for name, _ in cases]
     assert all(got[1000 + i].licence == name for i, (name, _) in enumerate(cases))
+
+
+def test_account_numbers_before_short_words(spark):
+    texts = [("IBAN BE68 5390 0754 7034", " BIC GKCCBEBB"), ("account ES9121000418450200051332", " EUR 100"), ("bank AT611904300234573201", " BIC X"),
+             ("IBAN PL61 1090 1014 0000 0712 1981 2874", " I"), ("IBAN SE45 5000 0000 0583 9825 7466", " 2024"), ("IBAN NO93 8601 1117 947", " AB1"),
+             ("IBAN GB82WEST12345698765432", "")]
+    frame = spark.createDataFrame([(i, a + b) for i, (a, b) in enumerate(texts)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in pii.masked(frame).collect()}
+    assert left == {i: a.split(" ")[0] + " [IBAN]" + b for i, (a, b) in enumerate(texts)}
+    wrong = spark.createDataFrame([(1, "IBAN BE69 5390 0754 7034 BIC, IBAN ZZ68 5390 0754 7034")], "doc_id long, text string")
+    assert all(s.kind != "iban" for s in pii.found(wrong).first().pii)
