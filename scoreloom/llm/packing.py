@@ -9,7 +9,8 @@
 Tokens come from a byte-level vocabulary file of the tokenizers library, whose content goes to the tasks (one or two
 megabytes). A task remembers the ids of pre-tokens, and those of the stretches between spaces: a space before a
 character that is no white space always starts a new pre-token, so a text can be put together from such stretches. Texts
-with a space before other white space or at the end are split whole. Both memories are bounded.
+with a space before other white space or at the end are split whole. Both memories are bounded. A text that holds an
+added token of the vocabulary file, such as an end marker, is left to the library, which gives the token its own id.
 
 A null text is empty; an empty text is the end id alone. Repeated rows are separate documents of the same id and are
 packed each. A null id is kept. An empty table gives an empty result. Columns beside the two named are not read.
@@ -96,6 +97,9 @@ class Encoder:
             written = text.encode().decode("latin-1").translate(characters)
             return array(code, [t.id for t in tokenize(written)]).tobytes()
 
+        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added)) if added else None
+        self.whole = lambda text: array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         self.pieces = Memory(piece)
         self.stretches = Memory(lambda text: self._split(" " + text))
 
@@ -104,6 +108,8 @@ class Encoder:
         return b"".join(map(self.pieces.__getitem__, (_ASCII if text.isascii() else _WIDE).findall(text)))
 
     def encode(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return self.whole(text)
         if _UNCLEAR.search(text):
             return self._split(text)
         first, *others = text.split(" ")

@@ -461,3 +461,16 @@ def test_account_numbers_before_short_words(spark):
     assert left == {i: a.split(" ")[0] + " [IBAN]" + b for i, (a, b) in enumerate(texts)}
     wrong = spark.createDataFrame([(1, "IBAN BE69 5390 0754 7034 BIC, IBAN ZZ68 5390 0754 7034")], "doc_id long, text string")
     assert all(s.kind != "iban" for s in pii.found(wrong).first().pii)
+
+
+def test_added_tokens_of_the_vocabulary(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(VOCABULARY)
+    assert tokenizer.encode("a<|endoftext|>b", add_special_tokens=False).ids == [64, 50256, 65]
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "one <|endoftext|>  two <|endoftext|>", "<|endoftext| >", PROSE + " <|endoftext|>" + PROSE]
+    pieces = packing.packed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), VOCABULARY).collect()
+    for i, text in enumerate(texts):
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        own = sorted((p for p in pieces if p.doc_id == i), key=lambda p: p.start)
+        assert b"".join(p.ids for p in own) == array.array("I", ids).tobytes() and all(p.doc_tokens == len(ids) for p in own)
