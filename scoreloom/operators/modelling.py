@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import random
 from heapq import heappop, heappush
-from itertools import accumulate
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -25,8 +24,8 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.scalars import score_points, tie_jitter
 from scoreloom.operators import metrics
-from scoreloom.operators.banding import band_above, quantile_bands
-from scoreloom.operators.ordered import column_quantiles, shuffled_rank
+from scoreloom.operators.banding import quantile_bands
+from scoreloom.operators.ordered import running_totals, shuffled_rank
 from scoreloom.operators.profile import target_distribution
 from scoreloom.operators.sampling import stratified_folds
 from scoreloom.session import written
@@ -71,43 +70,53 @@ def scored(model: Transformer, df: DataFrame, keep: Sequence[str]) -> DataFrame:
 
 # --- supervised bins and scorecard ------------------------------------------------------------------
 
-def tree_bins(df: DataFrame, column: str, target: str, most: int = 5, candidates: int = 256) -> DataFrame:
+def tree_bins(df: DataFrame, column: str, target: str, most: int = 5) -> DataFrame:
     """Bins of one numeric column by a decision tree: event rate, volume, bounds from -inf to inf.
 
-    The tree grows best split first until it has ``most`` leaves, or no split lowers the Gini impurity. Rows are
-    reduced to counts between up to ``candidates`` quantiles, so every cut is tried if there are no more values
-    than that; bounds lie half-way between neighbouring values.
+    The tree grows best split first until it has ``most`` leaves, or no split lowers the Gini impurity. Every cut
+    between two values is tried: running sums over the distinct values give the gain of each, and an aggregate over
+    them the best one of a leaf. Bounds lie half-way between neighbouring values.
     """
     rows = df.select(F.col(column).cast("double").alias("x"), F.col(target).cast("double").alias("y")).dropna()
-    edges = sorted(set(column_quantiles(rows, ["x"], [i / candidates for i in range(candidates + 1)]).get("x", [])))
-    counts = rows.groupBy(band_above(F.col("x"), [float("-inf"), *edges, float("inf")]).alias("band")).agg(
-        F.count("*").alias("n"), F.sum("y").alias("pos"), F.min("x").alias("low"), F.max("x").alias("high")
-    )
-    cells = sorted(counts.collect(), key=lambda r: r["low"])  # at most one row per candidate
+    totals = written(running_totals(rows, "x", {"n": F.lit(1), "pos": F.col("y")}), "running")
     schema = "bin int, event_rate double, volume bigint, lower_bound double, upper_bound double"
-    n, pos = ([0, *accumulate(r[c] for r in cells)] for c in ("n", "pos"))
-
-    def impurity(i: int, j: int) -> float:
-        rows, events = n[j] - n[i], pos[j] - pos[i]
-        return 2 * events * (rows - events) / rows if rows else 0.0
-
-    def best(i: int, j: int) -> tuple[float, int, int, int]:
-        """The largest gain, negated, in cells i to j, and the first cut that has it."""
-        gains = [(impurity(i, k) + impurity(k, j) - impurity(i, j), k, i, j) for k in range(i + 1, j)]
-        return min(gains, default=(0.0, 0, i, j))
-
-    leaves, done = [best(0, len(cells))], []
+    whole = totals.select("all_n", "all_pos").first()
+    if whole is None:
+        return df.sparkSession.createDataFrame([], schema)
+
+    def impurity(n: Column, pos: Column) -> Column:
+        return F.coalesce(F.try_divide(2 * pos * (n - pos), n.cast("double")), F.lit(0.0))
+
+    def looked_at(*spans: tuple) -> list[tuple]:
+        """For each span of values (above, up to, rows and events before and with it): the largest gain, negated,
+        the first cut that has it, the sums up to the cut, the span, its least and largest value."""
+        picks, x = [], F.col("x")
+        for k, (above, up_to, n0, pos0, n1, pos1) in enumerate(spans):
+            inside = (F.lit(True) if above is None else x > above) & (F.lit(True) if up_to is None else x <= up_to)
+            gain = (
+                impurity(F.col("cum_n") - n0, F.col("cum_pos") - pos0) + impurity(n1 - F.col("cum_n"), pos1 - F.col("cum_pos"))
+                - impurity(F.lit(n1 - n0), F.lit(pos1 - pos0))
+            )
+            cut = F.struct(gain.alias("gain"), "x", "cum_n", "cum_pos")
+            picks += [F.min(F.when(inside, cut)).alias(f"cut{k}"), F.min(F.when(inside, x)).alias(f"low{k}"),
+                      F.max(F.when(inside, x)).alias(f"high{k}")]
+        row = totals.agg(*picks).first()
+        return [(*row[f"cut{k}"], span, row[f"low{k}"], row[f"high{k}"]) for k, span in enumerate(spans)]
+
+    leaves, done = looked_at((None, None, 0, 0.0, whole["all_n"], whole["all_pos"])), []
     while leaves and len(leaves) + len(done) < most:
-        gain, k, i, j = heappop(leaves)
+        leaf = heappop(leaves)
+        gain, x, n, pos, (above, up_to, n0, pos0, n1, pos1), _, _ = leaf
         if gain < -1e-9:
-            heappush(leaves, best(i, k))
-            heappush(leaves, best(k, j))
+            for part in looked_at((above, x, n0, pos0, n, pos), (x, up_to, n, pos, n1, pos1)):
+                heappush(leaves, part)
         else:
-            done.append((gain, k, i, j))
-    spans = sorted((i, j) for _, _, i, j in [*leaves, *done] if j > i)
-    cut = [float("-inf"), *((cells[i - 1]["high"] + cells[i]["low"]) / 2 for i, _ in spans[1:]), float("inf")]
+            done.append(leaf)
+    bins = sorted([*leaves, *done], key=lambda leaf: leaf[4][2])
+    cut = [float("-inf"), *((a[6] + b[5]) / 2 for a, b in zip(bins, bins[1:])), float("inf")]
     table = [
-        (b, (pos[j] - pos[i]) / (n[j] - n[i]), n[j] - n[i], cut[b], cut[b + 1]) for b, (i, j) in enumerate(spans)
+        (b, (pos1 - pos0) / (n1 - n0), n1 - n0, cut[b], cut[b + 1])
+        for b, (*_, (_, _, n0, pos0, n1, pos1), _, _) in enumerate(bins)
     ]
     return df.sparkSession.createDataFrame(table, schema)
 

@@ -61,6 +61,32 @@ def test_tree_bins_have_as_many_leaves_as_asked(spark):
     assert ml.tree_bins(df.where("x = 1"), "x", "y").first()["volume"] == 40
 
 
+def test_tree_bins_try_every_cut(spark):
+    """A column that is nearly always 0, and one of more than 256 values, against a plain tree over all cuts."""
+    skewed = [(0.0, int(k % 50 == 0)) for k in range(8000)] + [(float(v), int(k < (0, 5, 1, 5, 2)[v - 1])) for v in range(1, 6) for k in range(5)]
+    wide = [(float(v), int((300 <= v < 303) or v % 7 == 0 or v > 880)) for v in range(900)]
+    for data in (skewed, wide):
+        values = sorted({x for x, _ in data})
+        count = {v: [0, 0] for v in values}
+        for x, y in data:
+            count[x][0] += 1
+            count[x][1] += y
+
+        def impurity(part):
+            n, e = (sum(count[v][c] for v in part) for c in (0, 1))
+            return 2 * e * (n - e) / n if n else 0.0
+
+        parts = [values]
+        while len(parts) < 5:
+            gain, cut, old = min((impurity(p[:k]) + impurity(p[k:]) - impurity(p), p[k], p) for p in parts for k in range(1, len(p)))
+            assert gain < 0
+            parts = sorted([p for p in parts if p is not old] + [[v for v in old if v < cut], [v for v in old if v >= cut]])
+        df = spark.createDataFrame(data, "x double, y int")
+        bins = ml.tree_bins(df, "x", "y", 5).orderBy("bin").collect()
+        assert [b["volume"] for b in bins] == [sum(count[v][0] for v in p) for p in parts]
+        assert [b["upper_bound"] for b in bins[:-1]] == [(a[-1] + b[0]) / 2 for a, b in zip(parts, parts[1:])]
+
+
 def test_report_and_comparison(rows):
     train, test = rows.where("id % 2 = 0"), rows.where("id % 2 = 1")
     model = ml.fit_classifier(train, ["x"], DecisionTreeClassifier(maxDepth=2), "y")
