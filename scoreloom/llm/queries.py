@@ -3,6 +3,7 @@
 from scoreloom.llm import (  # noqa: F401
     queries_bpe,
     queries_exact_dedup,
+    queries_hard_negatives,
     queries_licenses,
     queries_minhash,
     queries_packing,
