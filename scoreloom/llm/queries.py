@@ -10,6 +10,7 @@ from scoreloom.llm import (  # noqa: F401
     queries_pii,
     queries_quality,
     queries_ranked_search,
+    queries_repeats,
     queries_sharding,
     queries_toxicity,
     queries_url_filter,
