@@ -131,7 +131,7 @@ def named(rows: DataFrame, least: int) -> DataFrame:
             new = np.ones(len(late), bool)  # settled phrases that overlap are put together
             new[1:] = (where[1:] > where[:-1] + length[:-1]) | (where[1:] >> 23 != where[:-1] >> 23)
             lead = np.flatnonzero(new)
-            tail = np.append(lead[1:], len(late)) - 1
+            tail = np.append(lead[1:], len(late))[: len(lead)] - 1
             length = where[tail] + length[tail] - where[lead]
             keep, lead = np.flatnonzero(first), late[lead]
             rows_of = np.concatenate([row[keep], row[lead]])
