@@ -13,15 +13,15 @@ up in its own. The strings are judged on the input, so the first occurrence alwa
 3. Longest previous factors. The windows of such phrases are put in suffix order. Windows that share their whole length
    are neighbours there, and one has an earlier match of that length when the previous or the next smaller position in
    suffix order lies inside its run of neighbours. Positions are those of first phrases, so this decides every window.
-   An anchor with very many different phrases is done in random groups of ``GROUP`` phrases first; windows that are
-   still first in their group are then dealt by their own hash and ordered once more.
+   An anchor with very many different phrases is done in random groups of ``GROUP`` phrases. Windows that are first in
+   their group are then compared across the groups by their digests, dealt in as many ranges of digests as groups.
 4. The removed windows are gathered per document, at most as many as it has bytes, and cut out.
 
 Null is the empty text; a text of less than ``least`` bytes loses nothing. Null ids come after all others. Rows of equal
 id and text are one document and get one result each; rows of equal id and different texts are documents of their own,
 in the order of a hash of the text. Very long texts are read in segments. Extra columns pass through; one that has the
-name of the result is replaced. Every hash but the phrases' digests (64 bits beside those of the anchor) only deals out
-work; windows are compared byte by byte.
+name of the result is replaced. Phrases, and windows of different groups, are equal
+when anchor and digest are, 128 bits together; within a group bytes are compared.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ from scoreloom.session import written
 
 LEAST = 100
 GRAM = 32
-GROUP = 16_384
+GROUP = 4096
 PLACE_BITS = 24  # a place is (start << 24) + length
 FLUSH = 1 << 21  # bytes of phrases put in order at once
 _STEPS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
@@ -200,10 +200,10 @@ def _windows(size: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def factors(found: DataFrame, least: int) -> DataFrame:
-    """``(id, sign, at, bytes, h)`` of phrases dealt by ``(h, part)``: what goes (``bytes`` null), and windows to see again.
+    """``(id, sign, at)`` of what goes, and ``(h, part, windows)`` where an anchor has several parts.
 
-    ``found`` has ``(h, part, parts, id, sign, start, bytes)`` and lies in order of ``(h, part)``. Windows to see again
-    are those without an earlier match in their part, where their anchor has several parts; their ``h`` is their own hash.
+    ``found`` has ``(h, part, parts, id, sign, start, bytes)`` and lies in order of ``(h, part)``. ``windows`` are those
+    without an earlier match in their part, as ``(d, id, sign, at)``; its ``part`` is their range of digests.
     """
 
     def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -254,29 +254,76 @@ def factors(found: DataFrame, least: int) -> DataFrame:
             at = ((start[b] + offset[b]) << PLACE_BITS) + offset[e] - offset[b] + least
             rows = pa.array(owner[b])
             yield pa.RecordBatch.from_arrays(
-                [ids.take(rows), signs.take(rows), pa.array(at), pa.nulls(len(b), pa.binary()), pa.nulls(len(b), pa.int64())],
+                [ids.take(rows), signs.take(rows), pa.array(at), *(pa.nulls(len(b), t) for t in (pa.int64(), pa.int64(), kind))],
                 names=RESULT,
             )
-            several = table.column("parts").to_numpy()[owner] > 1
-            for again in np.array_split(np.flatnonzero(several & ~gone), max(1, int(np.count_nonzero(several)) // 50_000)):
-                if len(again):
-                    bytes_ = [data[f : f + least].tobytes() for f in first[again].tolist()]
-                    hashes = np.frombuffer(b"".join(hashlib.blake2b(x, digest_size=8).digest() for x in bytes_), np.int64)
-                    rows = pa.array(owner[again])
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(rows), signs.take(rows), pa.array(((start + offset)[again] << PLACE_BITS) + least),
-                         pa.array(bytes_, pa.binary()), pa.array(hashes)],
-                        names=RESULT,
-                    )
 
+            h, part, parts = (table.column(c).to_numpy() for c in ("h", "part", "parts"))
+            again = np.flatnonzero((parts[owner] > 1) & ~gone)
+            d = _digests(data, first[again], first[again] + least)
+            to = np.mod(d, parts[owner[again]])
+            order = np.lexsort((to, part[owner[again]], h[owner[again]]))
+            again, d, to = again[order], d[order], to[order]
+            of = owner[again]
+            new = np.append(True, (h[of[1:]] != h[of[:-1]]) | (part[of[1:]] != part[of[:-1]]) | (to[1:] != to[:-1]))[: len(of)]
+            begin, rows = np.flatnonzero(new), pa.array(of)
+            windows = pa.StructArray.from_arrays(
+                [pa.array(d), ids.take(rows), signs.take(rows), pa.array(((start + offset)[again] << PLACE_BITS) + least)],
+                fields=list(kind.value_type),
+            )
+            lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(of)).astype(np.int32)), windows).cast(kind)
+            none = len(begin)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(none, ids.type), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64()), pa.array(h[of[begin]]), pa.array(to[begin]), lists],
+                names=RESULT,
+            )
+
+    one = T.StructType([
+        T.StructField("d", T.LongType()), T.StructField("id", found.schema["id"].dataType), T.StructField("sign", T.LongType()),
+        T.StructField("at", T.LongType()),
+    ])
     schema = T.StructType([
         found.schema["id"], T.StructField("sign", T.LongType()), T.StructField("at", T.LongType()),
-        T.StructField("bytes", T.BinaryType()), T.StructField("h", T.LongType()),
+        T.StructField("h", T.LongType()), T.StructField("part", T.LongType()), T.StructField("windows", T.ArrayType(one)),
     ])
+    kind = found.sparkSession.createDataFrame([], schema).toArrow().schema.field("windows").type
     return found.select("h", "part", "parts", "id", "sign", "start", "bytes").mapInArrow(run, schema)
 
 
-RESULT = ["id", "sign", "at", "bytes", "h"]
+RESULT = ["id", "sign", "at", "h", "part", "windows"]
+
+
+def across(packed: DataFrame) -> DataFrame:
+    """``(id, sign, at)`` of the windows that another group of their anchor has earlier.
+
+    ``packed`` has ``(h, part, windows)`` and lies in order of ``(h, part)``; each group gave one row for each part.
+    """
+
+    def run(batches):
+        held, last = [], None
+
+        def later():
+            windows = pa.concat_arrays(held)
+            d, ids, signs, at = (windows.field(k) for k in range(4))
+            d = d.to_numpy()
+            place = (_order_of(ids, signs.to_numpy()) << 40) + (at.to_numpy() >> PLACE_BITS)
+            order = np.lexsort((place, d))
+            d, place = d[order], place[order]
+            first = np.append(True, d[1:] != d[:-1])
+            rows = pa.array(order[place > place[np.flatnonzero(first)[np.cumsum(first) - 1]]])
+            return pa.RecordBatch.from_arrays([x.take(rows) for x in (ids, signs, at)], names=["id", "sign", "at"])
+
+        for batch in batches:
+            for h, part, windows in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if held and (h, part) != last:
+                    yield later()
+                    held = []
+                last = (h, part)
+                held.append(windows.values)
+        if held:
+            yield later()
+
+    return packed.select("h", "part", "windows").mapInArrow(run, packed.select("id", "sign", "at").schema)
 
 
 def _start(at: Column) -> Column:
@@ -319,13 +366,10 @@ def stretches(rows: DataFrame, least: int, group: int) -> DataFrame:
         "part", F.pmod(F.xxhash64("id", "sign", "start"), F.col("parts"))
     )
     once = written(factors(_dealt(spread), least), "factors")
-    again = once.where("bytes IS NOT NULL").select(
-        "h", F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("parts"), "id", "sign", _start(F.col("at")).alias("start"), "bytes"
-    )
     return (
         found.where("NOT open").select("id", "sign", "at")
-        .unionByName(once.where("bytes IS NULL").select("id", "sign", "at"))
-        .unionByName(factors(_dealt(again), least).select("id", "sign", "at"))
+        .unionByName(once.where("windows IS NULL").select("id", "sign", "at"))
+        .unionByName(across(_dealt(once.where("windows IS NOT NULL"))))
     )
 
 
