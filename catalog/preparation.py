@@ -181,6 +181,28 @@ def drop_correlated(spark, folder):
     return df.drop(*prep.correlated(df, ["qty", "score", "disc", "qty_twice"], 0.5))
 
 
+GAPS = ["score", "qty", "disc", "tax", "steady"]
+
+
+@register("pairwise_correlations", f"""
+WITH {SCORED}, g AS (
+  SELECT CASE WHEN line % 3 = 0 THEN NULL ELSE CAST(score AS DOUBLE) END AS score, CASE WHEN id % 4 = 0 THEN NULL ELSE CAST(qty AS DOUBLE) END AS qty,
+    CASE WHEN line % 3 <> 0 THEN NULL ELSE CAST(disc AS DOUBLE) END AS disc, CASE WHEN id % 5 = 0 THEN NULL ELSE CAST(tax AS DOUBLE) END AS tax,
+    CAST(7 AS DOUBLE) AS steady
+  FROM scored)
+{" UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, " + ("max(CAST(NULL AS DOUBLE))" if "steady" in (a, b) else f"round(corr({a}, {b}), 6)") + " AS r FROM g" for j, b in enumerate(GAPS) for a in GAPS[:j])}""")
+def pairwise_correlations(spark, folder):
+    """Every row has a null somewhere; score and disc have no row in common."""
+    df = scored(spark, folder)
+    gaps = df.select(
+        F.when(F.col("line") % 3 != 0, F.col("score")).alias("score"), F.when(F.col("id") % 4 != 0, F.col("qty")).alias("qty"),
+        F.when(F.col("line") % 3 == 0, F.col("disc")).alias("disc"), F.when(F.col("id") % 5 != 0, F.col("tax")).alias("tax"),
+        F.lit(7.0).alias("steady"),
+    )
+    found = prep.correlations(gaps, GAPS, 4)
+    return rounded(spark.createDataFrame([(*pair, r) for pair, r in found.items()], "a string, b string, r double"), ["r"])
+
+
 @register("auto_preprocess", f"""
 WITH {PEOPLE}, m AS (SELECT avg(balance) AS balance, avg(tier) AS tier FROM people)
 SELECT cust, y, round(coalesce(people.balance, m.balance), 6) AS balance, round(coalesce(people.tier, m.tier), 6) AS tier FROM people, m""")

@@ -19,13 +19,15 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.functions.scalars import score_points, tie_jitter
 from scoreloom.operators import metrics
 from scoreloom.operators.banding import quantile_bands
+from scoreloom.operators.boosting import Leafwise, LeafwiseModel, fit_leafwise
 from scoreloom.operators.ordered import running_totals, shuffled_rank
+from scoreloom.operators.prep import Prep
 from scoreloom.operators.profile import target_distribution
 from scoreloom.operators.sampling import stratified_folds
 from scoreloom.session import written
@@ -140,8 +142,11 @@ def logistic_scorecard(df: DataFrame, features: Sequence[str], target: str) -> D
 
 # --- selection and comparison -----------------------------------------------------------------------
 
-def importances(model: PipelineModel, features: Sequence[str], df: DataFrame) -> DataFrame:
-    values = [float(x) for x in model.stages[-1].featureImportances.toArray()]
+def importances(model: PipelineModel | LeafwiseModel, features: Sequence[str], df: DataFrame) -> DataFrame:
+    if isinstance(model, LeafwiseModel):
+        values = model.importances()
+    else:
+        values = [float(x) for x in model.stages[-1].featureImportances.toArray()]
     return df.sparkSession.createDataFrame(list(zip(features, values)), "feature string, importance double")
 
 
@@ -158,12 +163,13 @@ def importance_selection(
     return chosen, table.orderBy(F.desc("importance"))
 
 
-def bakeoff_algorithms() -> dict[str, Estimator]:
+def bakeoff_algorithms() -> dict[str, Estimator | Leafwise]:
     shared = {"maxDepth": BAKEOFF_DEPTH, "minInstancesPerNode": BAKEOFF_LEAF, "seed": SEED}
     return {
         "decision_tree": DecisionTreeClassifier(**shared),
         "random_forest": RandomForestClassifier(**shared),
         "boosted_trees": GBTClassifier(**shared),
+        "leaf_wise_trees": Leafwise(n_estimators=20, max_depth=BAKEOFF_DEPTH, min_child_samples=BAKEOFF_LEAF, seed=SEED),
     }
 
 
@@ -179,12 +185,17 @@ def both_sets(model: Transformer, train: DataFrame, test: DataFrame, target: str
 
 
 def algorithm_bakeoff(
-    train: DataFrame, test: DataFrame, features: Sequence[str], target: str, algorithms: Mapping[str, Estimator] | None = None
+    train: DataFrame, test: DataFrame, features: Sequence[str], target: str,
+    algorithms: Mapping[str, Estimator | Leafwise] | None = None, keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Metrics of every algorithm on both sets. One model is fitted after the other."""
+    """Metrics of every algorithm on both sets. One model is fitted after the other; ``keys`` identify a row for
+    leaf-wise trees that see a share of the rows."""
     out = None
     for name, algorithm in (algorithms or bakeoff_algorithms()).items():
-        model = fit_classifier(train, features, algorithm, target)
+        if isinstance(algorithm, Leafwise):
+            model = fit_leafwise(train, features, target, keys, algorithm)
+        else:
+            model = fit_classifier(train, features, algorithm, target)
         found = set_metrics(both_sets(model, train, test, target), target).withColumn("algorithm", F.lit(name))
         out = found if out is None else out.unionByName(found)
     return out
@@ -291,6 +302,41 @@ def batch_score(
     return out
 
 
+@dataclass(frozen=True)
+class Scorer:
+    """A preparation and the model fitted on its features, stored and loaded as one."""
+
+    prep: Prep
+    model: Transformer
+
+    def save(self, path: str) -> None:
+        """Store under ``path``; the preparation comes last, so a part of it is not taken for the whole."""
+        self.model.write().overwrite().save(f"{path}/model")
+        self.prep.save(f"{path}/prep")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Scorer:
+        prep = Prep.load(spark, f"{path}/prep")
+        kind = LeafwiseModel if LeafwiseModel.is_stored(spark, f"{path}/model") else PipelineModel
+        return Scorer(prep, kind.load(f"{path}/model"))
+
+    def score(self, df: DataFrame, keys: Sequence[str], keep: Sequence[str] = (), bands: int = 10) -> DataFrame:
+        """From raw columns to probability, points and bands. Prepared columns can be named in ``keep`` too."""
+        prepared = self.prep.apply(df, [*keys, *(c for c in keep if c in df.columns and c not in self.prep.features)])
+        return score_population(self.model, prepared, keys, keep, bands)
+
+
+def batch_score_raw(
+    spark: SparkSession, path: str, populations: Mapping[str, DataFrame], keys: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """Score raw populations with a stored preparation and model; bands are cut within each population."""
+    scorer, out = Scorer.load(spark, path), None
+    for name, df in populations.items():
+        part = scorer.score(df, keys, keep).withColumn("population", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def permutation_importance(
     model: Transformer, df: DataFrame, features: Sequence[str], target: str, keys: Sequence[str], repeats: int = 5,
     seed: int = SEED,

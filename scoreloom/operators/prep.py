@@ -6,12 +6,11 @@ tables, which may be long, stay DataFrames.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -322,16 +321,67 @@ class Prep:
     target_encoding: TargetEncoding
     scale: Scale
     passthrough: tuple[str, ...] = ()
+    #: The columns that the fit has seen, with their types; ``apply`` asks for them.
+    expected: dict[str, str] = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
         return [*[name for _, _, name in self.one_hot.flags()], *self.target_encoding.tables, *self.scale.centers]
 
-    def apply(self, df: DataFrame) -> DataFrame:
-        out = self.modes.apply(self.medians.apply(df))
+    def check(self, df: DataFrame) -> None:
+        """An error that names the columns which are absent or of another kind than at the fit."""
+        have = {f.name: _kind(f.dataType) for f in df.schema.fields}
+        absent = [c for c in self.expected if c not in have]
+        other = [f"{c} ({have[c]}, not {k})" for c, k in self.expected.items() if c in have and have[c] != k]
+        if absent or other:
+            raise ValueError(f"columns absent: {absent}; of another kind: {other}")
+
+    def apply(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """The passed-through columns, those of ``keep`` as they came, and the features."""
+        self.check(df)
+        kept = [c for c in dict.fromkeys([*self.passthrough, *keep]) if c in df.columns]
+        held = df.withColumns({f"_keep_{c}": F.col(f"`{c}`") for c in kept}) if kept else df
+        out = self.modes.apply(self.medians.apply(held))
         out = self.scale.apply(self.target_encoding.apply(self.one_hot.apply(out)))
-        kept = [c for c in self.passthrough if c in out.columns]
-        return out.select(*kept, *[F.col(f"`{c}`") for c in self.features])
+        features = [c for c in self.features if c not in kept]
+        return out.select(*[F.col(f"`_keep_{c}`").alias(c) for c in kept], *[F.col(f"`{c}`") for c in features])
+
+    def save(self, path: str) -> None:
+        """Store under ``path``: numbers and lists as one JSON text, all category tables as one parquet table."""
+        values = {
+            "version": VERSION, "medians": asdict(self.medians), "modes": asdict(self.modes), "one_hot": asdict(self.one_hot),
+            "scale": asdict(self.scale), "overall": self.target_encoding.overall, "encoded": list(self.target_encoding.tables),
+            "passthrough": list(self.passthrough), "expected": self.expected,
+        }
+        spark = SparkSession.active()
+        tables = spark.createDataFrame([], "column string, category string, encoded double")
+        for c, found in self.target_encoding.tables.items():
+            tables = tables.unionByName(found.select(F.lit(c).alias("column"), "category", "encoded"))
+        tables.write.parquet(f"{path}/categories")
+        # the values come last: what they are missing from is no stored preparation
+        spark.createDataFrame([(json.dumps(values),)], "value string").coalesce(1).write.text(f"{path}/values")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> Prep:
+        """What ``save`` stored, in any session that reaches ``path``."""
+        values = json.loads(spark.read.text(f"{path}/values", wholetext=True).first()[0])
+        if values["version"] != VERSION:
+            raise ValueError(f"{path} holds a preparation of version {values['version']}; this is version {VERSION}")
+        tables = spark.read.schema("column string, category string, encoded double").parquet(f"{path}/categories")
+        encodings = {c: tables.where(F.col("column") == c).select("category", "encoded") for c in values["encoded"]}
+        return Prep(
+            Fill(**values["medians"]), Fill(**values["modes"]), OneHot(**values["one_hot"]),
+            TargetEncoding(encodings, values["overall"]), Scale(**values["scale"]), tuple(values["passthrough"]),
+            values["expected"],
+        )
+
+
+#: Raised when the stored form changes.
+VERSION = 1
+
+
+def _kind(data_type: T.DataType) -> str:
+    return "number" if isinstance(data_type, T.NumericType) else data_type.simpleString()
 
 
 def fit_prep(df: DataFrame, target: str, ids: Sequence[str] = (), limit: int = 20) -> Prep:
@@ -349,6 +399,7 @@ def fit_prep(df: DataFrame, target: str, ids: Sequence[str] = (), limit: int = 2
         fit_target_encoding(filled, by["target"], target),
         fit_robust_scale(filled, [c for c in by["numeric"] if c in medians.numbers]),
         (*ids, target),
+        {c: _kind(df.schema[c].dataType) for c in by["onehot"] + by["target"] + [c for c in by["numeric"] if c in medians.numbers]},
     )
 
 
@@ -360,11 +411,44 @@ def low_variance(df: DataFrame, columns: Sequence[str], least: float = 0.1) -> l
     return [c for c in columns if row[c] is not None and row[c] < least]
 
 
+#: Pairs of columns in one aggregate, six sums each.
+PAIRS_AT_ONCE = 400
+
+
+def correlations(df: DataFrame, columns: Sequence[str], pairs_at_once: int = PAIRS_AT_ONCE) -> dict[tuple[str, str], float | None]:
+    """Pearson's correlation of each pair of columns over the rows that have both, in order of ``columns``.
+
+    Sums and products are taken from values less their column's mean, so that large values lose no digits. Each pair
+    is a few sums of one aggregate, and pairs come in blocks; nothing of the size of all pairs is built per row. A pair
+    without two rows in common, or with one side constant there, has None. NaN counts as absent.
+    """
+    columns = list(columns)
+    values = {c: F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")) for c in columns}
+    rows = df.select(*[v.alias(c) for c, v in values.items()])
+    means = rows.agg(*[F.avg(f"`{c}`").alias(c) for c in columns]).first() if columns else {}
+    x = {c: F.col(f"`{c}`") - F.lit(means[c] or 0.0) for c in columns}
+    pairs = [(a, b) for j, b in enumerate(columns) for a in columns[:j]]
+    found: dict[tuple[str, str], float | None] = {}
+    for at in range(0, len(pairs), pairs_at_once):
+        part, sums = pairs[at : at + pairs_at_once], []
+        for k, (a, b) in enumerate(part):
+            both = F.col(f"`{a}`").isNotNull() & F.col(f"`{b}`").isNotNull()
+            terms = {"n": F.lit(1), "a": x[a], "b": x[b], "aa": x[a] * x[a], "bb": x[b] * x[b], "ab": x[a] * x[b]}
+            sums += [F.sum(F.when(both, v)).alias(f"{name}{k}") for name, v in terms.items()]
+        row = rows.agg(*sums).first()
+        for k, pair in enumerate(part):
+            n, a, b, aa, bb, ab = (row[f"{name}{k}"] for name in ("n", "a", "b", "aa", "bb", "ab"))
+            wide = (aa - a * a / n) * (bb - b * b / n) if n and n > 1 else 0.0
+            # what rounding leaves of the spread of a constant side is no spread
+            flat = not n or aa - a * a / n <= 1e-12 * aa or bb - b * b / n <= 1e-12 * bb
+            found[pair] = None if flat or wide <= 0 else max(-1.0, min(1.0, (ab - a * b / n) / wide**0.5))
+    return found
+
+
 def correlated(df: DataFrame, columns: Sequence[str], most: float = 0.5) -> list[str]:
-    """Columns correlated with an earlier column by more than ``most`` in absolute value."""
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="_x", handleInvalid="skip").transform(df)
-    matrix = Correlation.corr(assembled.select("_x"), "_x").first()[0].toArray()
-    return [c for j, c in enumerate(columns) if any(abs(matrix[i][j]) > most for i in range(j))]
+    """Columns correlated with an earlier column by more than ``most`` in absolute value, over rows that have both."""
+    found = correlations(df, columns)
+    return [c for j, c in enumerate(columns) if any(abs(found[a, c] or 0.0) > most for a in columns[:j])]
 
 
 @dataclass(frozen=True)

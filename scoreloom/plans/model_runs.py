@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.cleaning import shifted
 from scoreloom.operators import modelling, policy
+from scoreloom.operators.boosting import LeafwiseModel
 from scoreloom.operators.assemble import KEYS, cohort_range, control_group, out_of_time, population, star_join, union_populations
 from scoreloom.operators.dedup import duplicate_key_count
 from scoreloom.operators.ordered import null_safe_join
@@ -18,6 +19,7 @@ from scoreloom.operators.prep import Prep, fit_prep
 from scoreloom.operators.profile import drop_high_null_columns
 from scoreloom.operators.sampling import stratified_sample
 from scoreloom.operators.scorecard import psi
+from scoreloom.operators.search import parzen_search
 from scoreloom.session import written
 
 # Identifiers, target, cohorts, and the settings of the six runs.
@@ -69,10 +71,14 @@ class Fitted:
     prep: Prep
     selected: list[str]
     bakeoff: DataFrame | None
-    model: PipelineModel
+    model: PipelineModel | LeafwiseModel
     train: DataFrame
     test: DataFrame
 
+    def save(self, path: str) -> None:
+        """Store preparation and model for ``score_stored``."""
+        modelling.Scorer(self.prep, self.model).save(path)
+
     def metrics(self) -> DataFrame:
         return modelling.set_metrics(modelling.both_sets(self.model, self.train, self.test, TARGET), TARGET)
 
@@ -88,9 +94,11 @@ class Fitted:
 def fit_run(
     bureau: DataFrame, tables: Mapping[str, DataFrame], run: ModelRun, trials: int = modelling.TRIALS,
     folds: int = modelling.FOLDS, settings: Sequence[dict[str, float]] | None = None, compare: bool = True,
+    leafwise: bool = False, **search,
 ) -> Fitted:
     """Assemble, split out of time, sample, prepare on the training part, select features, compare three
-    algorithms (unless ``compare`` is off), search, fit."""
+    algorithms (unless ``compare`` is off), search, fit. ``leafwise`` searches leaf-wise trees by ``parzen_search``,
+    which takes ``search`` (time limit, patience, ...) and tries ``settings`` first."""
     rows = population(analysis_table(bureau, tables, run))
     if run.sample_by:
         rows = stratified_sample(rows, run.sample_by, run.fractions, KEYS)
@@ -101,7 +109,10 @@ def fit_run(
     test = written(prep.apply(test.drop(*dropped)), "test")
     selected, _ = modelling.importance_selection(train, prep.features, TARGET, run.importance_cutoff)
     bakeoff = modelling.algorithm_bakeoff(train, test, selected, TARGET) if compare else None
-    found = modelling.hyperparameter_search(train, selected, TARGET, KEYS, trials, folds, settings)
+    if leafwise:
+        found = parzen_search(train, selected, TARGET, KEYS, trials, folds, modelling.BETA, first=settings or (), **search)
+    else:
+        found = modelling.hyperparameter_search(train, selected, TARGET, KEYS, trials, folds, settings)
     return Fitted(run, prep, selected, bakeoff, found.model, train, test)
 
 
@@ -120,6 +131,15 @@ def score_all(bureau: DataFrame, tables: Mapping[str, DataFrame], fitted: Fitted
     return union_populations(parts, columns)
 
 
+def score_stored(
+    path: str, bureau: DataFrame, tables: Mapping[str, DataFrame], run: ModelRun, keep: Sequence[str] = ("FLAG_INSTALACAO",)
+) -> DataFrame:
+    """Score the run's population, approved and rejected, with what ``Fitted.save`` stored, on another day."""
+    everyone = analysis_table(bureau, tables, run)
+    populations = {name: everyone.where(F.col("FLAG_INSTALACAO") == flag) for name, flag in (("approved", 1), ("rejected", 0))}
+    return modelling.batch_score_raw(bureau.sparkSession, path, populations, KEYS, keep)
+
+
 @dataclass(frozen=True)
 class SwapReport:
     approvals: DataFrame

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,3 +100,38 @@ def test_domains_and_types(spark):
     got = [r["TFB_x"] for r in prep.apply_domain(df, table.where("x <> '2.0'"), "x").collect()]
     assert sorted(map(str, got)) == ["2.0", "None", "one"]
     assert [t for _, t in prep.narrow_types(df).dtypes] == ["float", "bigint"]
+
+
+def test_correlation_over_what_both_have(spark):
+    """Against pandas, where every row has a null; a constant side and pairs without common rows have none."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 4)) @ rng.normal(size=(4, 4)) + 1e6
+    x[np.arange(300), rng.integers(0, 4, 300)] = np.nan
+    x = np.column_stack([x, np.full(300, 3.0), np.where(np.isnan(x[:, 0]), 1.0, np.nan)])
+    names = [f"c{i}" for i in range(6)]
+    df = spark.createDataFrame([tuple(None if np.isnan(v) and i % 2 else float(v) for v in r) for i, r in enumerate(x)], ", ".join(f"{c} double" for c in names))
+    want = pd.DataFrame(x, columns=names).corr()
+    for at_once in (400, 4):
+        for (a, b), r in prep.correlations(df, names, at_once).items():
+            assert r is None if np.isnan(want[a][b]) else r == pytest.approx(want[a][b], abs=1e-9)
+    assert prep.correlations(df, []) == {} and prep.correlated(df.limit(0), names) == []
+
+
+def test_prep_is_stored_and_loaded(spark, tmp_path):
+    rows = [(i, float(i % 9) if i % 4 else None, ["a", "b\"'", None][i % 3], f"k{i % 25}", i % 2) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, x double, low string, high string, y int")
+    fitted = prep.fit_prep(df, "y", ["id"])
+    fitted.save(str(tmp_path / "prep"))
+    again = prep.Prep.load(spark.newSession(), str(tmp_path / "prep"))
+    assert again.features == fitted.features and again.expected == {"low": "string", "high": "string", "x": "number"}
+    a, b = (sorted(map(tuple, p.apply(df.drop("y"), ["x"]).collect())) for p in (fitted, again))
+    assert a == b and len(a) == 200
+    with pytest.raises(ValueError, match="absent: .'high'.*x .string, not number"):
+        again.apply(df.drop("high").withColumn("x", F.col("x").cast("string")))
+    values = tmp_path / "prep" / "values"
+    for part in values.glob("part*"):
+        part.write_text(part.read_text().replace('"version": 1', '"version": 99'))
+    for crc in values.glob(".part*.crc"):
+        crc.unlink()
+    with pytest.raises(ValueError, match="version 99"):
+        prep.Prep.load(spark, str(tmp_path / "prep"))
