@@ -201,7 +201,7 @@ def parzen_search(
     folded = written(stratified_folds(df.select(*dict.fromkeys([*keys, *features, target])), target, keys, folds), "folds")
     rows, edges = binned_rows(folded, [*features, "fold"], target, keys)
     fold_edges = edges.pop()
-    own_fold = F.get("b", F.lit(len(features)))
+    own_fold = F.get("b", F.lit(len(features))).cast("int")
     rows = written(rows.withColumn("fold", own_fold - 1).withColumn("b", F.slice("b", 1, len(features))), "binned")
     if len(fold_edges) != folds - 1:
         raise ValueError("some folds have no rows")
