@@ -163,14 +163,16 @@ def importance_selection(
     return chosen, table.orderBy(F.desc("importance"))
 
 
-def bakeoff_algorithms() -> dict[str, Estimator | Leafwise]:
+def bakeoff_algorithms(leafwise: bool = False) -> dict[str, Estimator | Leafwise]:
     shared = {"maxDepth": BAKEOFF_DEPTH, "minInstancesPerNode": BAKEOFF_LEAF, "seed": SEED}
-    return {
+    found: dict[str, Estimator | Leafwise] = {
         "decision_tree": DecisionTreeClassifier(**shared),
         "random_forest": RandomForestClassifier(**shared),
         "boosted_trees": GBTClassifier(**shared),
-        "leaf_wise_trees": Leafwise(n_estimators=20, max_depth=BAKEOFF_DEPTH, min_child_samples=BAKEOFF_LEAF, seed=SEED),
     }
+    if leafwise:
+        found["leaf_wise_trees"] = Leafwise(n_estimators=20, max_depth=BAKEOFF_DEPTH, min_child_samples=BAKEOFF_LEAF, seed=SEED)
+    return found
 
 
 def set_metrics(predictions: DataFrame, target: str) -> DataFrame:

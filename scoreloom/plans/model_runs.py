@@ -108,7 +108,7 @@ def fit_run(
     train = written(prep.apply(train), "train")
     test = written(prep.apply(test.drop(*dropped)), "test")
     selected, _ = modelling.importance_selection(train, prep.features, TARGET, run.importance_cutoff)
-    bakeoff = modelling.algorithm_bakeoff(train, test, selected, TARGET) if compare else None
+    bakeoff = modelling.algorithm_bakeoff(train, test, selected, TARGET, modelling.bakeoff_algorithms(leafwise), KEYS) if compare else None
     if leafwise:
         found = parzen_search(train, selected, TARGET, KEYS, trials, folds, modelling.BETA, first=settings or (), **search)
     else:
