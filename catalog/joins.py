@@ -11,6 +11,7 @@ from scoreloom.operators import assemble, books
 from scoreloom.operators.books import BookSpec, Indicator
 from scoreloom.operators.dedup import dedup_full_row, dedup_latest
 from scoreloom.operators.profile import percent_of, row_total
+from scoreloom.session import fresh_path
 from scoreloom.plans.books import payment_values
 
 
@@ -239,6 +240,19 @@ def book_backfill(spark, folder):
     return as_doubles(books.backfill(orders(spark, folder), BACKFILL, ORDER_BOOK, RUN_STAMP))
 
 
+@register("book_growth", f"WITH {ORDERS} {book_sql(ORDER_BOOK, REFERENCE, customers=customers_sql(REFERENCE))}")
+def book_growth(spark, folder):
+    """Two loads: the second brings the reference month and late rows of one before; the book is that of all rows."""
+    path, late = fresh_path(spark, "growing"), (F.col("safra") == 200103) & (F.col("order_id") % 5 == 0)
+    rows = orders(spark, folder).withColumn("load", F.when(late | (F.col("safra") >= REFERENCE), 2).otherwise(1))
+    rows.write.partitionBy("safra").parquet(f"{path}/feed")
+    feed = spark.read.schema(rows.schema).parquet(f"{path}/feed")
+    store = books.StoredMonths(f"{path}/store", ORDER_BOOK)
+    store.grow(feed.where("load = 1"), "load")
+    store.grow(feed, "load")
+    return as_doubles(store.book(spark, REFERENCE, RUN_STAMP))
+
+
 @register("payment_book_values", f"""
 WITH lo AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate AS paid,
     CASE WHEN o_orderstatus <> 'P' THEN o_orderdate END AS due FROM lineitem JOIN orders ON l_orderkey = o_orderkey)

@@ -8,10 +8,12 @@ all window aggregates are then computed from those few rows.
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -230,3 +232,68 @@ def backfill(
         book = _book(months, types, reference, spec, run_stamp, population)
         out = book if out is None else out.unionByName(book)
     return out
+
+
+# --- books that grow --------------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class StoredMonths:
+    """Customer-months kept under ``path``, a partition per cohort, so that a new month does not read the old ones.
+
+    ``grow`` reduces the cohorts of the feed that are new or have rows of a later stamp than was seen, and replaces
+    just their partitions; a book then reads its 13 partitions. Watermarks and value types are written last: a run that
+    fails before them is repeated by the next one.
+    """
+
+    path: str
+    spec: BookSpec
+    row_filter: Column | None = None
+
+    def _marks(self, spark: SparkSession) -> dict:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/marks")
+        if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+            return {"watermarks": {}, "types": {}}
+        latest = spark.read.parquet(f"{self.path}/marks").orderBy(F.desc("run")).first()
+        return json.loads(latest["value"])
+
+    def changed(self, feed: DataFrame, stamp: str) -> dict[int, int]:
+        """Cohorts of the feed with rows newer than their watermark, and their newest stamp; one row per cohort is read."""
+        known = self._marks(feed.sparkSession)["watermarks"]
+        newest = feed.groupBy(self.spec.cohort).agg(F.max(stamp).alias("stamp")).collect()
+        return {
+            r[0]: r["stamp"] for r in newest
+            if r[0] is not None and r["stamp"] is not None and r["stamp"] > known.get(str(r[0]), r["stamp"] - 1)
+        }
+
+    def grow(self, feed: DataFrame, stamp: str, cohorts: Sequence[int] | None = None) -> list[int]:
+        """Bring the store up to the feed and return the cohorts that were reduced.
+
+        ``cohorts`` names those that have changed, where the caller knows; only they are scanned then. ``stamp`` is a
+        whole number that grows from load to load.
+        """
+        spark, marks = feed.sparkSession, self._marks(feed.sparkSession)
+        part = feed if cohorts is None else feed.where(F.col(self.spec.cohort).isin(list(cohorts)))
+        stamps = self.changed(part, stamp)
+        if not stamps:
+            return []
+        rows = book_rows(feed.where(F.col(self.spec.cohort).isin(list(stamps))), self.spec, self.row_filter)
+        months = customer_months(rows, self.spec)
+        months.write.partitionBy(self.spec.cohort).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/months")
+        marks = {
+            "watermarks": marks["watermarks"] | {str(c): s for c, s in stamps.items()},
+            "types": {f.name: f.dataType.jsonValue() for f in rows.schema.fields},
+            "months": months.schema.jsonValue(),
+        }
+        run = spark.createDataFrame([(time.time_ns(), json.dumps(marks))], "run bigint, value string")
+        run.coalesce(1).write.mode("append").parquet(f"{self.path}/marks")
+        return sorted(stamps)
+
+    def months(self, spark: SparkSession) -> DataFrame:
+        """All stored customer-months; the cohort is the partition column."""
+        schema = T.StructType.fromJson(self._marks(spark)["months"])
+        return spark.read.schema(schema).parquet(f"{self.path}/months")
+
+    def book(self, spark: SparkSession, reference: int, run_stamp: int, population: DataFrame | None = None) -> DataFrame:
+        """The book of one reference cohort from 13 stored partitions, as ``build_book`` gives it from the feed."""
+        types = {c: T._parse_datatype_json_value(t) for c, t in self._marks(spark)["types"].items()}
+        return _book(self.months(spark), types, reference, self.spec, run_stamp, population)

@@ -1,4 +1,5 @@
 import random
+import re
 from dataclasses import replace
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -141,3 +142,28 @@ def test_full_payment_book(spark):
     assert r["VL_TOT_U1M_VAL_PAGAMENTO_FATURA_PAGT"] == 30 and r["VL_MED_U1M_1_FATURA_1_VAL_PAGAMENTO_FATURA_PAGT"] == 15
     assert r["VL_MAX_U1M_DIAS_ENTRE_PAGT_E_VENC_PAGT"] == 5 and r["VL_TOT_U1M_PAGT_ATRASADO_PAGT"] == 2
     assert r["RAZ_MED_U1M_U3M_VAL_PAGAMENTO_FATURA_PAGT"] == 1
+
+
+def test_books_grow_month_by_month(spark, tmp_path):
+    """Two loads with late rows and a new month give what one build over all rows gives; untouched months stay as they are."""
+    spec = books.BookSpec("b", "X", ("v",), ("avg", "max", "min", "sum", "count"), (books.Indicator("k", "K", ("a", "b")),), key="id", cohort="safra")
+    rows = [(i % 9, 202400 + m, Decimal(i * m % 37) / 4, "ab"[i % 2], 2 if m == 12 or (m == 3 and i % 4 == 0) else 1)
+            for m in range(1, 13) for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, safra int, v decimal(10,2), k string, load int")
+    df.write.partitionBy("safra").parquet(str(tmp_path / "feed"))
+    feed = spark.read.schema(df.schema).parquet(str(tmp_path / "feed"))
+    store = books.StoredMonths(str(tmp_path / "store"), spec)
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "store" / "months").rglob("*.parquet")}
+    assert store.grow(feed.where("load = 1"), "load") == list(range(202401, 202412))
+    before = files()
+    assert store.changed(feed, "load") == {202403: 2, 202412: 2}
+    assert store.grow(feed, "load", [202412]) == [202412] and store.grow(feed, "load") == [202403]
+    assert store.grow(feed, "load") == []
+    after = files()
+    kept = {p for p in before if "safra=202403" not in p}
+    assert all(after.get(p) == before[p] for p in kept) and not {p for p in before if "safra=202403" in p} & set(after)
+    whole = books.build_book(df, 202412, spec, 7)
+    got, want = (sorted(map(tuple, d.select(whole.columns).collect())) for d in (store.book(spark, 202412, 7), whole))
+    assert got == want and len(got) == 9
+    plan = feed.where(F.col("safra").isin([202412]))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*safra", plan)
