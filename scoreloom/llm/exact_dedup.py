@@ -70,9 +70,13 @@ def copies(
 def copies_removed(docs: DataFrame, key: str = "doc_id", text: str = "text", largest: bool = True) -> DataFrame:
     """The rows of ``docs`` that stay, one of each group, with the columns of ``docs``."""
     kept = copies(docs, key, text, largest).where("kept").groupBy(key, "text_sha256").agg(F.count(F.lit(1)).alias("n"))
+    helpers = ["id", "sha", "n"]
+    while any(h in docs.columns for h in helpers):  # names that no column of docs has
+        helpers = [f"_{h}" for h in helpers]
+    id_, sha_, n = helpers
     sha = F.sha2(lower_ascii(F.col(f"`{text}`")), 256)
-    kept = kept.select(F.col(key).alias("__id"), F.col("text_sha256").alias("__sha"), F.col("n").alias("__n"))
-    rows = docs.join(kept, F.col(f"`{key}`").eqNullSafe(F.col("__id")) & (sha == F.col("__sha")))
-    once = rows.where("__n = 1").select(docs.columns)
-    repeated = rows.where("__n > 1").dropDuplicates(["__id", "__sha"]).select(docs.columns)
+    kept = kept.select(F.col(key).alias(id_), F.col("text_sha256").alias(sha_), F.col("n").alias(n))
+    rows = docs.join(kept, F.col(f"`{key}`").eqNullSafe(F.col(id_)) & (sha == F.col(sha_)))
+    once = rows.where(F.col(n) == 1).select(docs.columns)
+    repeated = rows.where(F.col(n) > 1).dropDuplicates([id_, sha_]).select(docs.columns)
     return once.unionByName(repeated)

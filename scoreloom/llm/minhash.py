@@ -20,8 +20,8 @@ would give, but for pairs that share no band: at the threshold of 0.85 with 25 b
 million.
 
 Texts without words have no shingles and link with nothing; null is empty. Texts with fewer words than a shingle are one
-shingle. Repeated rows (equal id) are one node and keep one row each in ``linked``; ``near_copies_removed`` leaves one
-of them. Rows with a null id link with nothing and stay. Columns beside those named are not read.
+shingle. Rows of equal id are one node and keep one row each in ``linked``; ``near_copies_removed`` takes only rows of
+equal id and text for repeats, and leaves one of them. Rows with a null id link with nothing and stay. Columns beside those named are not read.
 """
 
 from __future__ import annotations
@@ -318,11 +318,19 @@ def _across_blocks(rest: DataFrame, leaders: DataFrame, texts: DataFrame, like:
 def near_copies_removed(
     docs: DataFrame, like: Likeness = Likeness(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, one of each group of near copies, with the columns of ``docs``."""
-    gone = linked(docs, like, key, text).where("NOT kept").select(F.col(key).alias("__id")).distinct()
-    rest = docs.join(gone, F.col(f"`{key}`") == F.col("__id"), "left_anti")
-    counts = rest.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(f"__n > 1 AND `{key}` IS NOT NULL")
-    repeated = counts.select(F.col(key).alias("__id"))
-    once = rest.join(repeated, F.col(f"`{key}`") == F.col("__id"), "left_anti")
-    several = rest.join(repeated, F.col(f"`{key}`") == F.col("__id"), "left_semi").dropDuplicates([key])
-    return once.unionByName(several)
+    """The rows of ``docs`` that stay, one of each group of near copies, with the columns of ``docs``.
+
+    Rows are told apart by id and text: of rows that are equal in both one stays, and rows of one id with different
+    texts are linked and kept each by its own text.
+    """
+    node = "node"
+    while node in docs.columns:
+        node += "_"
+    own = F.struct(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("sign"))
+    rows = docs.withColumn(node, F.when(F.col(f"`{key}`").isNotNull(), own))
+    linking = linked(rows.select(node, F.col(f"`{text}`").alias("text")), like, node)
+    rest = rows.join(linking.where("NOT kept").select(node).distinct(), node, "left_anti")
+    repeated = rest.where(F.col(node).isNotNull()).groupBy(node).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(node)
+    once = rest.join(repeated, node, "left_anti")
+    several = rest.join(repeated, node, "left_semi").dropDuplicates([node])
+    return once.unionByName(several).select(*(F.col(f"`{c}`") for c in docs.columns))

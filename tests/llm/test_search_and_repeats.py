@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.llm import hard_negatives, ranked_search, repeats
+from scoreloom.llm import exact_dedup, hard_negatives, minhash, ranked_search, repeats
 
 CLASH = ["id", "n", "terms", "times", "query", "item", "rank", "size", "block", "rows", "asks", "h", "d", "at", "sign", "row", "kept"]
 EXTRA = ", ".join(f"`{c}` string" for c in CLASH)
@@ -235,3 +235,25 @@ def test_suffix_order():
             want.append(data[s : s + 100].tobytes() in seen)
             seen.add(data[s : s + 100].tobytes())
         assert repeats.repeats_earlier(data, start, 100).tolist() == want
+
+
+# --- near copies: rows that share an id -------------------------------------------------------------
+
+def test_near_copies_keep_unrelated_texts_of_one_id(spark):
+    prose = lambda k: " ".join(f"w{k}x{i * i % 997}" for i in range(120))
+    q, r, s = prose("q"), prose("r"), prose("s")
+    rows = [(1, s), (2, prose("t")), (3, q), (3, r), (4, r + " tail"), (5, prose("u")), (6, q + " more"), (5, prose("u")), (None, q)]
+    extra = ["node", "node_", "id", "sign", "times", "__id", "__n"]
+    df = spark.createDataFrame([(i, t, *extra) for i, t in rows], "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in extra))
+    left = minhash.near_copies_removed(df)
+    assert left.columns == df.columns
+    assert sorted((x.doc_id or 0, x.text) for x in left.collect()) == sorted(
+        [(1, s), (2, rows[1][1]), (3, q), (3, r), (5, rows[5][1]), (0, q)]
+    )
+
+
+def test_exact_copies_beside_clashing_names(spark):
+    names = ["id", "sha", "n", "_id", "_sha", "__id", "__sha", "__n"]
+    df = spark.createDataFrame([(i, t, *names) for i, t in [(1, "a"), (2, "A"), (3, "b"), (3, "b")]], "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in names))
+    left = exact_dedup.copies_removed(df)
+    assert left.columns == df.columns and sorted((r.doc_id, r.text) for r in left.collect()) == [(2, "A"), (3, "b")]
