@@ -30,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -324,13 +324,14 @@ def near_copies_removed(
     texts are linked and kept each by its own text.
     """
     node = "node"
-    while node in docs.columns:
+    while node in docs.columns or f"{node}number" in docs.columns:
         node += "_"
     own = F.struct(F.col(f"`{key}`").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("sign"))
     rows = docs.withColumn(node, F.when(F.col(f"`{key}`").isNotNull(), own))
     linking = linked(rows.select(node, F.col(f"`{text}`").alias("text")), like, node)
-    rest = rows.join(linking.where("NOT kept").select(node).distinct(), node, "left_anti")
-    repeated = rest.where(F.col(node).isNotNull()).groupBy(node).agg(F.count(F.lit(1)).alias("times")).where("times > 1").select(node)
-    once = rest.join(repeated, node, "left_anti")
-    several = rest.join(repeated, node, "left_semi").dropDuplicates([node])
-    return once.unionByName(several).select(*(F.col(f"`{c}`") for c in docs.columns))
+    stays = linking.where("kept").select(node).distinct()
+    # the texts are shuffled once: the join leaves them dealt and sorted by node, and repeats stand side by side
+    number = F.row_number().over(Window.partitionBy(node).orderBy(node))
+    named = rows.where(F.col(node).isNotNull()).join(stays.hint("merge"), node, "left_semi").withColumn(f"{node}number", number)
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return named.where(F.col(f"{node}number") == 1).select(*columns).unionByName(docs.where(F.col(f"`{key}`").isNull()))
