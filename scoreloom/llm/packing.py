@@ -43,15 +43,14 @@ GROUP = 2000  # pieces in a group, about
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WIDE = regex.compile(PATTERN)
 _ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
-_UNCLEAR = re.compile(r" (?=\s)| $")
 _known: dict[str, Encoder] = {}
 
 
-def _byte_characters() -> dict[int, int]:
+def _byte_characters() -> dict[int, str]:
     """The character that byte-level vocabularies write for each byte."""
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: b for b in shown} | {b: 256 + k for k, b in enumerate(hidden)}
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 @dataclass(frozen=True)
@@ -67,16 +66,22 @@ def vocabulary(path: str) -> str:
 
 
 class Memory(dict):
-    """What ``make`` makes of a text, remembered for short texts up to a bounded number."""
+    """What ``make`` makes of a text, remembered for short texts up to a bounded number.
+
+    Half of the number is kept back when the memory is full: what comes up again moves to the new half.
+    """
 
     def __init__(self, make):
         super().__init__()
-        self.make = make
+        self.make, self.before = make, {}
 
-    def __missing__(self, text: str) -> bytes:
-        made = self.make(text)
+    def __missing__(self, text: str) -> bytes | None:
+        made = self.before.get(text)
+        if made is None:
+            made = self.make(text)
         if len(text) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.before = dict(self)
                 self.clear()
             self[text] = made
         return made
@@ -94,26 +99,34 @@ class Encoder:
         self.dtype = np.dtype("<u2" if code == "H" else "<u4")
 
         def piece(text: str) -> bytes:
-            written = text.encode().decode("latin-1").translate(characters)
+            if text.isascii() and text.isprintable():  # of these only the space is written otherwise
+                written = text.replace(" ", characters[32])
+            else:
+                written = text.encode().decode("latin-1").translate(characters)
             return array(code, [t.id for t in tokenize(written)]).tobytes()
 
-        added = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added)) if added else None
+        self.added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.whole = lambda text: array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        self.pieces = Memory(piece)
-        self.stretches = Memory(lambda text: self._split(" " + text))
+        self.piece, self.pieces, self.stretches = piece, Memory(piece), Memory(self._stretch)
 
     def _split(self, text: str) -> bytes:
         """The ids of a text by its pre-tokens."""
         return b"".join(map(self.pieces.__getitem__, (_ASCII if text.isascii() else _WIDE).findall(text)))
 
+    def _stretch(self, text: str) -> bytes | None:
+        """The ids of a space and what follows it; none if that is white space or the end."""
+        if not text or text[0].isspace():
+            return None
+        if text.isalpha() and text.isascii():  # one pre-token, remembered as this stretch alone
+            return self.piece(" " + text)
+        return self._split(" " + text)
+
     def encode(self, text: str) -> bytes:
-        if self.added and self.added.search(text):
+        if any(token in text for token in self.added):
             return self.whole(text)
-        if _UNCLEAR.search(text):
-            return self._split(text)
         first, *others = text.split(" ")
-        return self._split(first) + b"".join(map(self.stretches.__getitem__, others))
+        coded = list(map(self.stretches.__getitem__, others))
+        return self._split(text) if None in coded else self._split(first) + b"".join(coded)
 
 
 def encoder(vocabulary_json: str) -> Encoder:
@@ -221,7 +234,7 @@ def packed(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     def pack(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+        table = table.combine_chunks().sort_by([("id", "ascending"), ("start", "ascending")])
         ids, starts, group = table.column("ids").to_pylist(), table.column("start").to_pylist(), table.column("grp")[0].as_py()
         dtype = encoder(shared.value).dtype
         wide = dtype.itemsize
