@@ -3,15 +3,14 @@
 Encoding. A text is split into pre-tokens. Each distinct word is an array of byte strings; a fold over it merges, step by
 step, the neighbouring pair whose joined bytes have the lowest rank, the leftmost of equals, by a literal map of the
 ranks. The map is an array of small maps, found by a hash of the key, because a lookup in one map reads all its keys.
-The most frequent words of a sample are folded once, as distinct words, and kept as a second literal of bounded size;
-all others are folded where they stand. Which words are kept changes the time, never the ids. There is no shuffle but
-for counting the sample's words, and memory does not grow with the corpus.
+The most frequent words of a sample are folded once, as distinct words in many tasks, and kept as a second literal of
+bounded size; all others are folded where they stand. Which words are kept changes the time, never the ids. There is no shuffle but for counting the sample's words, and memory does not grow with the corpus.
 
 Decoding looks the bytes of each id up in a literal array and joins them; it knows nothing of words.
 
 Byte strings are written as hexadecimal text, two characters a byte, so that they can be keys of JSON literals. A fold
-takes quadratic time in the length of a word; texts that may hold words of more than 400 bytes are encoded in tasks
-with a heap instead: same ranks, same order, same ids.
+takes quadratic time in the length of a word; the distinct words of over ``longest_folded`` bytes go through a heap
+instead, word by word: same ranks, same order, same ids. All other words of such a text are folded as everywhere.
 
 Null is the empty text and has no ids. Repeated rows are encoded each; an empty table gives an empty result. Columns
 of ``df`` that have the name of the result are replaced.
@@ -24,23 +23,22 @@ import heapq
 import json
 from dataclasses import dataclass
 
-import pyarrow as pa
-import regex
+import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 NONE = 2**31 - 1
-#: Texts in which a pre-token may have over 400 bytes: a hundred characters in a row without white space, or of it.
+#: Texts that may have a long word: a hundred characters in a row without white space, or of it.
 LONG_RUN = r"[^ \t-\r]{100}|(?U:\s{100})"
 
 
 @dataclass(frozen=True)
 class Limits:
     sample_rows: int = 50_000
-    kept_words: int = 262_144
+    kept_words: int = 98_304
     longest_kept: int = 32  # bytes
+    longest_folded: int = 400  # bytes; at least 400, since shorter words are not looked for
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -84,8 +82,6 @@ class Codec:
         for token, rank in ranks.items():
             pieces[rank] = token.hex().upper()
         self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
-        little = [rank.to_bytes(4, "little").hex().upper() for rank in range(len(pieces))]
-        self.little = F.from_json(F.lit(json.dumps(little)), "array<string>")
 
     def words(self, text: Column) -> Column:
         """The pre-tokens; white space is that of Unicode."""
@@ -133,6 +129,8 @@ class Codec:
 
     def frequent(self, df: DataFrame, text: str, limits: Limits) -> HashMap:
         """The ids of the words that are most frequent in a sample: at most ``kept_words`` of them."""
+        if not limits.kept_words:
+            return HashMap({}, "array<int>")
         rows = df.count()
         part = int(min(1.0, limits.sample_rows / max(1, rows)) * 2**31)
         some = df.where(F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(2**31)) < part)
@@ -142,26 +140,39 @@ class Codec:
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
             .orderBy(F.desc("n"), "word").limit(limits.kept_words)
         )
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         ids = _let(self.rank_map.literal, lambda ranks: self.fold(ranks, F.hex(F.col("word").cast("binary"))))
-        return HashMap({r["word"]: r["ids"] for r in top.select("word", ids.alias("ids")).toLocalIterator()}, "array<int>")
+        kept = top.select("word").repartition(tasks, "word").select("word", ids.alias("ids"))
+        return HashMap({r["word"]: r["ids"] for r in kept.toLocalIterator()}, "array<int>")
 
     def encode(self, df: DataFrame, text: str = "text", out: str = "ids", limits: Limits = Limits()) -> DataFrame:
         """``df`` and the ids of each text as ``out``; the column ``text`` goes."""
         known = self.frequent(df, text, limits)
         body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-        of_word = lambda ranks, kept, w: F.coalesce(known.find(kept, w), self.fold(ranks, F.hex(w.cast("binary"))))
-        ids = _let(
-            self.rank_map.literal,
-            lambda ranks: _let(
-                known.literal, lambda kept: F.flatten(F.transform(self.words(body), lambda w: of_word(ranks, kept, w)))
-            ),
-        )
-        carry = [c for c in df.columns if c not in (text, out)]
-        columns = [F.col(f"`{c}`") for c in carry]
-        folded = df.where(~body.rlike(LONG_RUN)).select(*columns, ids.alias(out))
-        schema = T.StructType([*(df.schema[c] for c in carry), T.StructField(out, T.ArrayType(T.IntegerType()))])
-        long = df.where(body.rlike(LONG_RUN)).select(*columns, body.alias("__text__"))
-        return folded.unionByName(long.mapInArrow(_by_heap(self.ranks, self.pattern, carry, out), schema))
+        longest = max(400, limits.longest_folded)
+        long_words = F.filter(F.array_distinct(self.words(body)), lambda w: F.octet_length(w) > longest)
+        heaped = F.pandas_udf(_by_heap(self.ranks), "array<array<int>>")
+        columns = [F.col(f"`{c}`") for c in df.columns if c not in (text, out)]
+
+        def ids(by_heap: Column | None) -> Column:
+            def of_word(ranks, kept, w):
+                folded = self.fold(ranks, F.hex(w.cast("binary")))
+                if by_heap is not None:
+                    folded = F.when(F.octet_length(w) > longest, F.try_element_at(by_heap, w)).otherwise(folded)
+                return F.coalesce(known.find(kept, w), folded)
+
+            def of_texts(ranks, kept):
+                return F.flatten(F.transform(self.words(body), lambda w: of_word(ranks, kept, w)))
+
+            return _let(self.rank_map.literal, lambda ranks: _let(known.literal, lambda kept: of_texts(ranks, kept)))
+
+        usual = df.where(~body.rlike(LONG_RUN)).select(*columns, ids(None).alias(out))
+        taken = {*df.columns, out}
+        found, coded = (_free(name, taken) for name in ("words", "coded"))
+        long = df.where(body.rlike(LONG_RUN)).withColumn(found, long_words)
+        long = long.withColumn(coded, heaped(F.col(found)))
+        by_heap = F.map_from_arrays(F.col(found), F.col(coded))
+        return usual.unionByName(long.select(*columns, ids(by_heap).alias(out)))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of a sequence of ids."""
@@ -169,7 +180,14 @@ class Codec:
 
     def packed(self, ids: Column) -> Column:
         """A sequence of ids as little-endian unsigned 32-bit integers."""
-        return _let(self.little, lambda p: F.unhex(F.array_join(F.transform(ids, lambda i: F.get(p, i)), "")))
+
+        def little(i):
+            byte = lambda k: F.shiftright(i, 8 * k).bitwiseAND(F.lit(255))
+            ends = F.shiftleft(byte(0), 8).bitwiseOR(byte(1))
+            rest = F.shiftleft(byte(2), 8).bitwiseOR(byte(3))
+            return F.lpad(F.hex(F.shiftleft(ends.cast("long"), 16).bitwiseOR(rest.cast("long"))), 8, "0")
+
+        return F.unhex(F.array_join(F.transform(ids, little), ""))
 
 
 def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -198,13 +216,15 @@ def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i : end[i]]] for i in range(len(word)) if alive[i]]
 
 
-def _by_heap(ranks: dict[bytes, int], pattern: str, carry: list[str], out: str):
-    def run(batches):
-        split = regex.compile(pattern)
-        for batch in batches:
-            ids = [
-                [i for w in split.findall(t.as_py()) for i in merge_by_heap(w.encode(), ranks)] for t in batch.column(batch.num_columns - 1)
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.list_(pa.int32()))], names=[*carry, out])
+def _by_heap(ranks: dict[bytes, int]):
+    def run(words: pd.Series) -> pd.Series:
+        return words.map(lambda some: [merge_by_heap(w.encode(), ranks) for w in some])
 
     return run
+
+
+def _free(name: str, taken: set[str]) -> str:
+    """A column name like ``name`` that is not taken."""
+    while name in taken:
+        name += "_"
+    return name

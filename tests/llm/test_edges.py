@@ -230,6 +230,21 @@ def test_bpe_without_kept_words(spark, codec):
         assert bpe.merge_by_heap(word.encode(), codec.ranks) == known.encode_ordinary(word)
 
 
+def test_bpe_of_long_words(spark, codec):
+    import tiktoken
+
+    known = tiktoken.Encoding("own", pat_str=codec.pattern, mergeable_ranks=codec.ranks, special_tokens={})
+    texts = ["漢字仮名" * 300, "plain words, then " + "ab" * 50_000 + " and 12", "x" * 399 + " " + "y" * 401, " " * 900 + "z"]
+    df = spark.createDataFrame([(t, 1, 2) for t in texts], "text string, words int, coded int").withColumn("t", F.col("text"))
+    coded = codec.encode(df, limits=bpe.Limits(kept_words=0))
+    assert coded.columns == ["words", "coded", "t", "ids"]
+    rows = coded.withColumn("back", codec.decode(F.col("ids"))).collect()
+    assert len(rows) == len(texts) and {r.words for r in rows} == {1} and {r.coded for r in rows} == {2}
+    for r in rows:
+        assert r.ids == known.encode_ordinary(r.t)
+        assert bytes(r.back) == r.t.encode()
+
+
 def test_shards(docs, none):
     rows = sharding.records(docs)
     sizes = sharding.slot_sizes(rows)
