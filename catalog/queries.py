@@ -4,6 +4,7 @@ from catalog import scans  # noqa: F401
 from catalog import projections  # noqa: F401
 from catalog import filters  # noqa: F401
 from catalog import joins  # noqa: F401
+from catalog import full_books  # noqa: F401
 from catalog import profiles  # noqa: F401
 from catalog import bands  # noqa: F401
 from catalog import quality  # noqa: F401

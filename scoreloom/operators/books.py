@@ -112,32 +112,58 @@ def window_features(
     months: DataFrame, spec: BookSpec, types: dict[str, T.DataType], reference: int, only_active: bool = False
 ) -> DataFrame:
     """Layer 1 from customer-months: every aggregate over every window, plain and per indicator
-    value, rounded to 2. ``only_active`` keeps the customers seen in the reference cohort."""
-    # At most one row per customer and month is left here, so this window is small per key.
+    value, rounded to 2. ``only_active`` keeps the customers seen in the reference cohort.
+
+    The windows are nested: each part is added up once over a customer's months, newest first, and a window is the
+    running total at its oldest month. The totals of a window are carried as one struct, so the reduction to a row per
+    customer has one aggregate per window, whatever the number of features.
+    """
+    # At most one row per customer and month is left here, so these windows are small per key.
     months = months.withColumn("_last", F.max(spec.cohort).over(Window.partitionBy(spec.key)))
     if only_active:
         months = months.where(F.col("_last") == reference)
     last = F.lit(reference) if spec.anchor == "cohort" else F.col("_last")
-    flagged = months.select("*", *_flags(spec, last))
+    age = month_index(last) - month_index(F.col(spec.cohort))
+    aged = months.withColumn("_age", F.when(age >= 0, age))  # later months, which no window has, come last
+    newest_first = Window.partitionBy(spec.key).orderBy(F.col("_age").asc_nulls_last())
+    so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    labels = [label for label, _ in spec.conditions()]
+    parts = [f"{p}__{label}{value}" for label in labels for value in spec.values for p in _parts(spec.aggregates)]
+    running = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
+    totals = aged.select(
+        spec.key, "_age",
+        F.lead("_age").over(newest_first).alias("_next"), F.row_number().over(newest_first).alias("_place"),
+        *[running[c.partition("__")[0]](f"`{c}`").over(so_far).alias(c) for c in parts],
+    )
+    oldest = {
+        w: (F.col("_age") <= n) & (F.col("_next").isNull() | (F.col("_next") > n)) for w, n in spec.windows.items()
+    }
+    in_use = F.col("_place") == 1  # a customer without any month in a window stays
+    for is_oldest in oldest.values():
+        in_use = in_use | is_oldest
+    fields = F.struct(*[F.col(f"`{c}`") for c in parts])
+    per_customer = totals.where(in_use).groupBy(spec.key).agg(
+        *[F.first(F.when(is_oldest, fields), ignorenulls=True).alias(f"_w_{w}") for w, is_oldest in oldest.items()]
+    )
 
     out = []
     for window in spec.windows:
-        for label, _ in spec.conditions():
+        for label in labels:
             for value in spec.values:
-                part = {p: f"CASE WHEN `{window}` = 1 THEN `{p}__{label}{value}` END" for p in _parts(spec.aggregates)}
+                part = {p: f"`_w_{window}`.`{p}__{label}{value}`" for p in _parts(spec.aggregates)}
                 for aggregate in spec.aggregates:
                     name = spec.layer1_name(aggregate, window, label, value)
                     out.append(F.expr(f"{_combined(aggregate, part, types[value])} AS `{name}`"))
-    return flagged.groupBy(spec.key).agg(*out)
+    return per_customer.select(spec.key, *out)
 
 
 def _combined(aggregate: str, part: dict[str, str], value_type: T.DataType) -> str:
-    """The window aggregate from its monthly parts."""
+    """The window aggregate from the window's totals."""
     if aggregate == "count":
-        return f"coalesce(sum({part['count']}), 0L)"
+        return f"coalesce({part['count']}, 0L)"
     if aggregate in ("max", "min", "sum"):
-        return f"round({aggregate}({part[aggregate]}), 2)"
-    average = f"sum({part['sum']}) / nullif(sum({part['count']}), 0L)"
+        return f"round({part[aggregate]}, 2)"
+    average = f"{part['sum']} / nullif({part['count']}, 0L)"
     if isinstance(value_type, T.DecimalType):
         # The built-in decimal average keeps four more digits before it is rounded to two.
         average = f"cast({average} AS decimal({value_type.precision + 4},{value_type.scale + 4}))"

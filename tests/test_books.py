@@ -167,3 +167,14 @@ def test_books_grow_month_by_month(spark, tmp_path):
     assert got == want and len(got) == 9
     plan = feed.where(F.col("safra").isin([202412]))._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*safra", plan)
+
+
+def test_customer_without_months_in_any_window_stays(spark):
+    """Anchored at the reference cohort: later and much older months are in no window, but their customers stay."""
+    rows = feed(spark, [("late", 202411, "A", "1"), ("old", 202301, "A", "2"), ("both", 202411, "A", "4"), ("both", 202409, "A", "8")])
+    spec = replace(SPEC, anchor="cohort")
+    types = {f.name: f.dataType for f in rows.schema.fields}
+    got = {r["k"]: r for r in books.window_features(books.customer_months(rows, spec), spec, types, 202410).collect()}
+    assert set(got) == {"late", "old", "both"}
+    assert all(got[k]["VL_TOT_U12M_v_X"] is None and got[k]["VL_QT_U12M_v_X"] == 0 for k in ("late", "old"))
+    assert got["both"]["VL_TOT_U1M_v_X"] == 8 and got["both"]["VL_QT_U12M_v_X"] == 1
