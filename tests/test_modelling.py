@@ -1,8 +1,10 @@
+import math
 import random
 from decimal import Decimal
 
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.sql import functions as F
 
 from scoreloom.operators import banding
 from scoreloom.operators import modelling as ml
@@ -143,3 +145,16 @@ def test_runs_are_nested():
     assert len(sets) == 6 and all(a <= b for a, b in zip(sets, sets[1:]))
     assert model_runs.RUNS[0].without == ("SCORE_02",)
     assert [r.most_nulls for r in model_runs.RUNS] == [0.7] * 5 + [0.8]
+
+
+def test_scorecard_reads_distinct_rows(spark, monkeypatch):
+    """The regression iterates over a written table of the distinct rows, and finds the log odds of all of them."""
+    rows = spark.range(4000).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 4 == 0).cast("double").alias("y"))
+    rows = rows.unionByName(spark.createDataFrame([(1.0, 1.0)] * 100, "x double, y double"))
+    sizes, keep = [], ml.written
+    monkeypatch.setattr(ml, "written", lambda df, label: sizes.append(df.count()) or keep(df, label))
+    card = {r["variable"]: r for r in ml.logistic_scorecard(rows, ["x"], "y").collect()}
+    assert sizes == [2]
+    assert abs(card["x"]["beta"] - math.log(100 / 2000)) < 1e-6 and abs(card["const"]["beta"]) < 1e-6
+    variance = 1 / 100 + 1 / 2000 + 1 / 1000 + 1 / 1000
+    assert abs(card["x"]["wald"] - math.log(100 / 2000) ** 2 / variance) < 1e-3
