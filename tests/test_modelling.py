@@ -158,3 +158,13 @@ def test_scorecard_reads_distinct_rows(spark, monkeypatch):
     assert abs(card["x"]["beta"] - math.log(100 / 2000)) < 1e-6 and abs(card["const"]["beta"]) < 1e-6
     variance = 1 / 100 + 1 / 2000 + 1 / 1000 + 1 / 1000
     assert abs(card["x"]["wald"] - math.log(100 / 2000) ** 2 / variance) < 1e-3
+
+
+def test_frequent_rows_are_dealt_evenly(spark):
+    """Two distinct rows make two partitions of old; the copies of each are now spread and none is lost."""
+    rows = spark.range(60_000).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    dealt = ml.laid_out(rows)
+    assert dealt.groupBy("x", "y").count().orderBy("x").collect() == [(0.0, 0, 30_000), (1.0, 1, 30_000)]
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert max(sizes) <= 5 * ml.BLOCK < 30_000
+    assert ml.partitions_of(10 * ml.PARTITIONS * ml.ROWS_PER_PARTITION) == 10 * ml.PARTITIONS
