@@ -147,6 +147,26 @@ def test_runs_are_nested():
     assert [r.most_nulls for r in model_runs.RUNS] == [0.7] * 5 + [0.8]
 
 
+def test_frequent_rows_are_dealt_evenly(spark):
+    """Two distinct rows make two partitions of old; the copies of each are now spread and none is lost."""
+    rows = spark.range(60_000).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
+    dealt = ml.laid_out(rows)
+    assert dealt.groupBy("x", "y").count().orderBy("x").collect() == [(0.0, 0, 30_000), (1.0, 1, 30_000)]
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("part")).count().collect()]
+    assert max(sizes) <= 5 * ml.BLOCK < 30_000
+    assert ml.partitions_of(10 * ml.PARTITIONS * ml.ROWS_PER_PARTITION) == 10 * ml.PARTITIONS
+
+
+def test_leaves_of_one_class_keep_their_rates(spark):
+    """Rates of 0.1, 0.4 and 0.9 over x: the first two say the same class and must still be told apart."""
+    rates = F.get(F.array(F.lit(1), F.lit(4), F.lit(9)), F.col("x").cast("int"))
+    rows = spark.range(3000).select((F.col("id") % 3).cast("double").alias("x"), F.floor(F.col("id") / 3).alias("n"))
+    rows = rows.select("x", (F.col("n") % 10 < rates).cast("int").alias("y"))
+    for classifier in (DecisionTreeClassifier(maxDepth=3), DecisionTreeClassifier(maxDepth=3, minInstancesPerNode=2)):
+        found = ml.scored(ml.fit_classifier(rows, ["x"], classifier, "y"), rows, ["x"]).distinct().orderBy("x").collect()
+        assert [(r["x"], round(r["p"], 9), r["prediction"]) for r in found] == [(0.0, 0.1, 0), (1.0, 0.4, 0), (2.0, 0.9, 1)]
+
+
 def test_scorecard_reads_distinct_rows(spark, monkeypatch):
     """The regression iterates over a written table of the distinct rows, and finds the log odds of all of them."""
     rows = spark.range(4000).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 4 == 0).cast("double").alias("y"))
@@ -158,13 +178,3 @@ def test_scorecard_reads_distinct_rows(spark, monkeypatch):
     assert abs(card["x"]["beta"] - math.log(100 / 2000)) < 1e-6 and abs(card["const"]["beta"]) < 1e-6
     variance = 1 / 100 + 1 / 2000 + 1 / 1000 + 1 / 1000
     assert abs(card["x"]["wald"] - math.log(100 / 2000) ** 2 / variance) < 1e-3
-
-
-def test_frequent_rows_are_dealt_evenly(spark):
-    """Two distinct rows make two partitions of old; the copies of each are now spread and none is lost."""
-    rows = spark.range(60_000).select((F.col("id") % 2).cast("double").alias("x"), (F.col("id") % 2).cast("int").alias("y"))
-    dealt = ml.laid_out(rows)
-    assert dealt.groupBy("x", "y").count().orderBy("x").collect() == [(0.0, 0, 30_000), (1.0, 1, 30_000)]
-    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id().alias("part")).count().collect()]
-    assert max(sizes) <= 5 * ml.BLOCK < 30_000
-    assert ml.partitions_of(10 * ml.PARTITIONS * ml.ROWS_PER_PARTITION) == 10 * ml.PARTITIONS
