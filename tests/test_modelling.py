@@ -178,3 +178,17 @@ def test_scorecard_reads_distinct_rows(spark, monkeypatch):
     assert abs(card["x"]["beta"] - math.log(100 / 2000)) < 1e-6 and abs(card["const"]["beta"]) < 1e-6
     variance = 1 / 100 + 1 / 2000 + 1 / 1000 + 1 / 1000
     assert abs(card["x"]["wald"] - math.log(100 / 2000) ** 2 / variance) < 1e-3
+
+
+def test_search_scores_distinct_rows(spark, monkeypatch):
+    """Rates of 0.1 and 0.9 over x: the search counts eight cells, and its F-beta is that of calling x = 1."""
+    rows = spark.range(2000).select("id", (F.col("id") % 2).cast("double").alias("x"), F.floor(F.col("id") / 2).alias("n"))
+    rows = rows.select("id", "x", (F.col("n") % 10 < 1 + 8 * F.col("x")).cast("int").alias("y"))
+    made, keep = [], ml.cells
+    monkeypatch.setattr(ml, "cells", lambda df: made.append(keep(df)) or made[-1])
+    one = {"maxIter": 2, "stepSize": 0.3, "maxDepth": 2, "subsamplingRate": 0.9, "featureShare": 1.0, "positiveWeight": 1.0}
+    found = ml.hyperparameter_search(rows, ["x"], "y", ["id"], folds=2, settings=[one])
+    assert [t.count() for t in made] == [8]
+    assert abs(found.table.first()["fbeta"] - 0.9) < 0.02
+    said = ml.scored(found.model, rows, ["x"]).select("x", "prediction").distinct().orderBy("x").collect()
+    assert [tuple(r) for r in said] == [(0.0, 0), (1.0, 1)]
