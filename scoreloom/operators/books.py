@@ -3,7 +3,7 @@
 Work is done in two aggregations. Rows are first reduced to one per customer and month (with the
 plain and per-indicator sums, counts and extremes), which combines map-side and leaves at most
 13 rows per customer whatever the feed's density. Windows relative to the customer's last month and
-all window aggregates are then computed from those few rows.
+all window aggregates are then computed from those few rows, which are gathered per customer.
 """
 
 from __future__ import annotations
@@ -95,6 +95,19 @@ def _parts(aggregates: Iterable[str]) -> list[str]:
     return [a for a in ("sum", "count", "max", "min") if a in needed]
 
 
+def in_hundredths(df: DataFrame, spec: BookSpec) -> DataFrame:
+    """Amounts of up to 12 digits, two of them decimals, as whole hundredths: their sums take no decimal arithmetic.
+
+    They hold 9 million rows of the largest amount for one customer; beyond that ANSI mode raises an error.
+    """
+    small = {v for v in spec.values if _is_amount(df.schema[v].dataType)}
+    return df.select(*[F.expr(f"CAST(`{c}` * 100 AS bigint) AS `{c}`" if c in small else f"`{c}`") for c in df.columns])
+
+
+def _is_amount(value_type: T.DataType) -> bool:
+    return isinstance(value_type, T.DecimalType) and value_type.scale == 2 and value_type.precision <= 12
+
+
 def customer_months(df: DataFrame, spec: BookSpec) -> DataFrame:
     """One row per customer and month with ``<part>__<condition><value>`` columns.
 
@@ -109,52 +122,122 @@ def customer_months(df: DataFrame, spec: BookSpec) -> DataFrame:
 
 
 def window_features(
-    months: DataFrame, spec: BookSpec, types: dict[str, T.DataType], reference: int, only_active: bool = False
+    months: DataFrame, spec: BookSpec, types: dict[str, T.DataType], reference: int, only_active: bool = False,
+    ratios: bool = False,
 ) -> DataFrame:
     """Layer 1 from customer-months: every aggregate over every window, plain and per indicator
-    value, rounded to 2. ``only_active`` keeps the customers seen in the reference cohort.
+    value, rounded to 2. ``only_active`` keeps the customers seen in the reference cohort; ``ratios``
+    adds the columns of ``ratio_features``.
 
-    The windows are nested: each part is added up once over a customer's months, newest first, and a window is the
-    running total at its oldest month. The totals of a window are carried as one struct, so the reduction to a row per
-    customer has one aggregate per window, whatever the number of features.
+    The windows are nested: a customer's months are added up once, newest first, and a window is the total at its oldest
+    month. The parts are elements of arrays, one array for each kind of values, so expressions stay few and small: the
+    code of one for each feature takes every task longer to compile than its rows take to run.
     """
-    # At most one row per customer and month is left here, so these windows are small per key.
-    months = months.withColumn("_last", F.max(spec.cohort).over(Window.partitionBy(spec.key)))
-    if only_active:
-        months = months.where(F.col("_last") == reference)
-    last = F.lit(reference) if spec.anchor == "cohort" else F.col("_last")
-    age = month_index(last) - month_index(F.col(spec.cohort))
-    aged = months.withColumn("_age", F.when(age >= 0, age))  # later months, which no window has, come last
-    newest_first = Window.partitionBy(spec.key).orderBy(F.col("_age").asc_nulls_last())
-    so_far = newest_first.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    labels = [label for label, _ in spec.conditions()]
-    parts = [f"{p}__{label}{value}" for label in labels for value in spec.values for p in _parts(spec.aggregates)]
-    running = {"sum": F.sum, "count": F.sum, "max": F.max, "min": F.min}
-    totals = aged.select(
-        spec.key, "_age",
-        F.lead("_age").over(newest_first).alias("_next"), F.row_number().over(newest_first).alias("_place"),
-        *[running[c.partition("__")[0]](f"`{c}`").over(so_far).alias(c) for c in parts],
+    cells, parts = _cells(months, spec, types), _parts(spec.aggregates)
+    arrays = []
+    for k, kind in enumerate(cells):
+        of_cell = (", ".join(f"`{p}__{label}{value}` AS {p}" for p in parts) for label, value in kind)
+        arrays.append(F.expr(f"array({', '.join(f'struct({c})' for c in of_cell)}) AS _c{k}"))
+    # At most one row per customer and month is left here, so these arrays are small.
+    gathered = months.select(spec.key, F.col(spec.cohort).alias("_cohort"), *arrays).groupBy(spec.key).agg(
+        F.sort_array(F.collect_list(F.struct("_cohort", *[f"_c{k}" for k in range(len(cells))])), asc=False).alias("_months")
     )
-    oldest = {
-        w: (F.col("_age") <= n) & (F.col("_next").isNull() | (F.col("_next") > n)) for w, n in spec.windows.items()
-    }
-    in_use = F.col("_place") == 1  # a customer without any month in a window stays
-    for is_oldest in oldest.values():
-        in_use = in_use | is_oldest
-    fields = F.struct(*[F.col(f"`{c}`") for c in parts])
-    per_customer = totals.where(in_use).groupBy(spec.key).agg(
-        *[F.first(F.when(is_oldest, fields), ignorenulls=True).alias(f"_w_{w}") for w, is_oldest in oldest.items()]
+    last = F.get("_months", F.lit(0))["_cohort"]
+    if only_active:
+        gathered = gathered.where(last == reference)
+    end = month_index(F.lit(reference) if spec.anchor == "cohort" else last)
+    totals = gathered.select(
+        spec.key, F.transform("_months", lambda m: F.struct((end - month_index(m["_cohort"])).alias("_age"), m.alias("_parts"))).alias("_months"),
+        *[_nothing(months, kind, parts, k).alias(f"_t{k}") for k, kind in enumerate(cells)],
     )
-
+    reached, before = -1, None
+    for window, n in sorted(spec.windows.items(), key=lambda w: w[1]):
+        added = F.filter("_months", lambda m: (m["_age"] > reached) & (m["_age"] <= n))
+        done = [c for c in totals.columns if c != "_added"]
+        totals = totals.select(*done, added.alias("_added")).withColumns(
+            {f"_t{k}": F.aggregate("_added", F.col(f"_t{k}"), _adding(totals, k)) for k in range(len(cells))}
+        )
+        layer1 = {
+            f"_l{k}_{window}": F.expr(f"transform(_t{k}, c -> {_layer1(months, spec, types, kind)})") for k, kind in enumerate(cells)
+        }
+        if before:  # without a further month the features are those of the window before
+            layer1 = {
+                c: F.when(F.size("_added") > 0, feature).otherwise(F.col(f"{c.partition('_' + window)[0]}_{before}"))
+                for c, feature in layer1.items()
+            }
+        totals = totals.withColumns(layer1)
+        reached, before = n, window
+
+    place = {cell: (k, i) for k, kind in enumerate(cells) for i, cell in enumerate(kind)}
     out = []
     for window in spec.windows:
-        for label in labels:
+        for label, _ in spec.conditions():
             for value in spec.values:
-                part = {p: f"`_w_{window}`.`{p}__{label}{value}`" for p in _parts(spec.aggregates)}
+                k, i = place[label, value]
                 for aggregate in spec.aggregates:
-                    name = spec.layer1_name(aggregate, window, label, value)
-                    out.append(F.expr(f"{_combined(aggregate, part, types[value])} AS `{name}`"))
-    return per_customer.select(spec.key, *out)
+                    feature = f"get(`_l{k}_{window}`, {i}).{aggregate}"
+                    feature = f"coalesce({feature}, 0L)" if aggregate == "count" else feature
+                    out.append(F.expr(f"{feature} AS `{spec.layer1_name(aggregate, window, label, value)}`"))
+    pairs = spec.ratio_pairs() if ratios else []
+    for num, den in pairs:
+        for label, _ in spec.conditions():
+            for value in spec.values:
+                k, i = place[label, value]
+                out.append(F.expr(f"get(`_r{k}_{num}_{den}`, {i}) AS `{spec.ratio_name(num, den, label, value)}`"))
+    quotients = [
+        _quotients(totals, f"_l{k}_{num}", f"_l{k}_{den}").alias(f"_r{k}_{num}_{den}") for num, den in pairs for k in range(len(cells))
+    ]
+    return totals.select("*", *quotients).select(spec.key, *out)
+
+
+def _cells(months: DataFrame, spec: BookSpec, types: dict[str, T.DataType]) -> list[list[tuple[str, str]]]:
+    """Name part of the condition and value of every cell, by the kind of the value."""
+    kinds: dict[tuple, list[tuple[str, str]]] = {}
+    for label, _ in spec.conditions():
+        for value in spec.values:
+            kinds.setdefault((types[value], _held_in_hundredths(months, spec, value, types[value])), []).append((label, value))
+    return list(kinds.values())
+
+
+def _nothing(months: DataFrame, kind: list[tuple[str, str]], parts: list[str], k: int) -> Column:
+    """The totals of no month: an array of cells without values."""
+    value = "".join(kind[0])
+    sums = months.select(*[(F.max if p in ("max", "min") else F.sum)(f"`{p}__{value}`").alias(p) for p in parts]).schema
+    empty = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in sums])
+    return F.array_repeat(empty, len(kind))
+
+
+def _adding(totals: DataFrame, k: int):
+    """Totals and one month's parts, cell by cell; a part without a value changes nothing."""
+    fields = totals.schema[f"_t{k}"].dataType.elementType.fields
+
+    def added(a: Column, b: Column) -> Column:
+        both = {
+            "sum": lambda p: F.coalesce(a[p] + b[p], a[p], b[p]), "count": lambda p: F.coalesce(a[p] + b[p], a[p], b[p]),
+            "max": lambda p: F.greatest(a[p], b[p]), "min": lambda p: F.least(a[p], b[p]),
+        }
+        return F.struct(*[both[f.name](f.name).cast(f.dataType).alias(f.name) for f in fields])
+
+    return lambda acc, m: F.zip_with(acc, m["_parts"][f"_c{k}"], added)
+
+
+def _quotients(totals: DataFrame, num: str, den: str) -> Column:
+    """The ratios of two windows; many are of equal amounts, which need no division."""
+    plain = f"zip_with(`{num}`, `{den}`, (a, b) -> {_ratio('a.avg', 'b.avg')})"
+    quotient = totals.select(F.expr(plain).alias("q")).schema["q"].dataType.elementType
+    if not isinstance(quotient, T.DecimalType):
+        return F.expr(plain)
+    one = f"CASE WHEN a.avg = b.avg THEN cast(1 AS {quotient.simpleString()}) ELSE a.avg / b.avg END"
+    return F.expr(f"zip_with(`{num}`, `{den}`, (a, b) -> CASE WHEN b.avg <> 0 THEN {one} END)")
+
+
+def _layer1(months: DataFrame, spec: BookSpec, types: dict[str, T.DataType], kind: list[tuple[str, str]]) -> str:
+    value = kind[0][1]
+    combined = _combined_hundredths if _held_in_hundredths(months, spec, value, types[value]) else _combined
+    part = {p: f"c.{p}" for p in _parts(spec.aggregates)}
+    features = ", ".join(f"{combined(a, part, types[value])} AS {a}" for a in spec.aggregates)
+    some = "c.count > 0" if "count" in part else f"c.{next(iter(part))} IS NOT NULL"
+    return f"CASE WHEN {some} THEN struct({features}) END"
 
 
 def _combined(aggregate: str, part: dict[str, str], value_type: T.DataType) -> str:
@@ -170,6 +253,28 @@ def _combined(aggregate: str, part: dict[str, str], value_type: T.DataType) -> s
     return f"round({average}, 2)"
 
 
+def _held_in_hundredths(months: DataFrame, spec: BookSpec, value: str, value_type: T.DataType) -> bool:
+    """Whether customer-months hold an amount in hundredths, as ``in_hundredths`` gives it, or as a decimal."""
+    held = {months.schema[f"{p}__{value}"].dataType for p in _parts(spec.aggregates) if p != "count"}
+    return _is_amount(value_type) and held == {T.LongType()}
+
+
+def _combined_hundredths(aggregate: str, part: dict[str, str], value_type: T.DecimalType) -> str:
+    """As ``_combined`` gives it, value and type, from totals in whole hundredths."""
+    digits = value_type.precision
+    if aggregate == "count":
+        return f"coalesce({part['count']}, 0L)"
+    if aggregate == "sum":
+        return f"cast({part['sum']} * 0.01BD AS decimal({digits + 21},2))"
+    if aggregate in ("max", "min"):
+        return f"cast({part[aggregate]} * 0.01BD AS decimal({digits + 1},2))"
+    # An average is rounded half away from zero to six digits and then to two: its rest goes up from 0.4999 5 on.
+    rest = f"20000 * ({part['sum']} % {part['count']})"
+    up = f"CASE WHEN {rest} >= 9999 * {part['count']} THEN 1 WHEN {rest} <= -9999 * {part['count']} THEN -1 ELSE 0 END"
+    whole = f"CASE WHEN {part['count']} > 0 THEN {part['sum']} div {part['count']} + {up} END"
+    return f"cast({whole} * 0.01BD AS decimal({digits + 1},2))"
+
+
 def ratio_features(df: DataFrame, spec: BookSpec) -> DataFrame:
     """Layer 2: average of a window over the average of the next longer one, NULL over zero."""
     out = []
@@ -178,10 +283,14 @@ def ratio_features(df: DataFrame, spec: BookSpec) -> DataFrame:
             for value in spec.values:
                 top, bottom = (f"`{spec.layer1_name('avg', w, label, value)}`" for w in (num, den))
                 name = spec.ratio_name(num, den, label, value)
-                out.append(F.expr(f"CASE WHEN {bottom} <> 0 THEN {top} / {bottom} END AS `{name}`"))
+                out.append(F.expr(f"{_ratio(top, bottom)} AS `{name}`"))
     return df.select("*", *out)
 
 
+def _ratio(top: str, bottom: str) -> str:
+    return f"CASE WHEN {bottom} <> 0 THEN {top} / {bottom} END"
+
+
 def cohort_slice(df: DataFrame, reference: int, spec: BookSpec, months: int = 12) -> DataFrame:
     """Rows of the reference cohort and the ``months`` before; a plain range on the partition column."""
     return df.where(F.col(spec.cohort).between(shifted(reference, -months), reference))
@@ -210,7 +319,7 @@ def _book(
     in_slice = cohort_slice(months, reference, spec)
     # Customers of the reference cohort are known from the months themselves, without a second scan.
     only_active = spec.keep_customers_without_features and population is None
-    features = ratio_features(window_features(in_slice, spec, types, reference, only_active), spec)
+    features = window_features(in_slice, spec, types, reference, only_active, ratios=True)
     if population is not None:
         features = with_reference_population(features, cohort_keys(population, reference, spec), spec)
     return features.select(
@@ -234,7 +343,7 @@ def build_book(
     """
     rows = cohort_slice(book_rows(feed, spec, row_filter), reference, spec)
     types = {f.name: f.dataType for f in rows.schema.fields}
-    return _book(customer_months(rows, spec), types, reference, spec, run_stamp, population)
+    return _book(customer_months(in_hundredths(rows, spec), spec), types, reference, spec, run_stamp, population)
 
 
 def backfill(
@@ -252,7 +361,7 @@ def backfill(
     rows = book_rows(feed, spec, row_filter)
     rows = rows.where(F.col(spec.cohort).between(shifted(min(references), -12), max(references)))
     types = {f.name: f.dataType for f in rows.schema.fields}
-    months = written(customer_months(rows, spec), "months")
+    months = written(customer_months(in_hundredths(rows, spec), spec), "months")
     out = None
     for reference in references:
         book = _book(months, types, reference, spec, run_stamp, population)
