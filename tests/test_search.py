@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from scoreloom.operators import search
+from scoreloom.operators.boosting import Leafwise
 from scoreloom.operators.search import SPACE, Dimension, best_trial, parzen_search, run_trials
 
 BOX = {"x": Dimension(-5, 5), "rate": Dimension(1e-3, 1.0, log=True), "n": Dimension(1, 40, whole=True)}
@@ -82,3 +84,22 @@ def test_nine_dimensions():
     assert len(SPACE) == 9
     with pytest.raises(KeyError):
         SPACE["rate"]
+
+
+def test_equal_rows_are_counted(spark, monkeypatch):
+    """The rows of a search over trees that see all rows are as many as there are bins, and give the same scores."""
+    rng = random.Random(2)
+    rows = [(i, rng.randrange(2), rng.randrange(3)) for i in range(900)]
+    df = spark.createDataFrame([(i, a, b, int(rng.random() < 0.2 + 0.3 * a + 0.2 * b)) for i, a, b in rows], "id int, a int, b int, y int")
+    seen, fit = [], search.fit_binned
+    monkeypatch.setattr(search, "fit_binned", lambda part, *how: seen.append(part.count()) or fit(part, *how))
+    first = [{"learning_rate": 0.3, "scale_pos_weight": 2.0}, {"learning_rate": 0.1, "scale_pos_weight": 1.5}]
+    how = {"trials": 2, "folds": 2, "space": {k: SPACE[k] for k in first[0]}, "first": first}
+    fixed = {"n_estimators": 3, "num_leaves": 5, "reg_lambda": 0.5}
+    counted = parzen_search(df, ["a", "b"], "y", ["id"], fixed=fixed, **how)
+    assert max(seen) <= 24
+    by_row = parzen_search(df, ["a", "b"], "y", ["id"], fixed=fixed | {"subsample": 1.0}, **how)
+    assert seen[-1] == 900 and counted.table.collect() == by_row.table.collect() and counted.model.trees == by_row.model.trees
+    with pytest.raises(ValueError):
+        edges = [[0.5], [0.5]]
+        search.fit_binned(spark.sql("SELECT array(1S, 1S) AS b, 1 AS y, 2L AS n"), edges, ["a", "b"], Leafwise(subsample=0.5))
