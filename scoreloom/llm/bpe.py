@@ -1,15 +1,17 @@
 """Byte-level BPE by higher-order functions.
 
-Encoding. A text is split into pre-tokens. Each distinct word is an array of byte strings; a fold over it merges, step by
-step, the neighbouring pair whose joined bytes have the lowest rank, the leftmost of equals, by a literal map of the
-ranks. The map is an array of small maps, found by a hash of the key, because a lookup in one map reads all its keys.
-The most frequent words of a sample are folded once, as distinct words in many tasks, and kept as a second literal of
-bounded size; all others are folded where they stand. Which words are kept changes the time, never the ids. There is no shuffle but for counting the sample's words, and memory does not grow with the corpus.
+Encoding. A text is split into pre-tokens. Each distinct word is a text of one character per token, at first one per
+byte; a fold over it merges, step by step, the neighbouring pair with the lowest rank, the leftmost of equals. The ranks
+of all neighbouring pairs are a second text, a rank being the character of the token that the pair becomes, so a merge
+overlays one character of the first text and two of the second. Pairs are found in a literal array by their hash.
+A token that the merges do not lead to is a word of its own and looked up.
+The most frequent words of a sample are folded once, in many tasks, and read by the encoding tasks as one value of bounded
+size, the result of a scalar subquery; all others are folded where they stand. Which words are kept changes the time, never
+the ids. There is no shuffle but for counting the sample's words, and memory does not grow with the corpus.
 
 Decoding looks the bytes of each id up in a literal array and joins them; it knows nothing of words.
 
-Byte strings are written as hexadecimal text, two characters a byte, so that they can be keys of JSON literals. A fold
-takes quadratic time in the length of a word; the distinct words of over ``longest_folded`` bytes go through a heap
+A fold takes quadratic time in the length of a word; the distinct words of over ``longest_folded`` bytes go through a heap
 instead, word by word: same ranks, same order, same ids. All other words of such a text are folded as everywhere.
 
 Null is the empty text and has no ids. Repeated rows are encoded each; an empty table gives an empty result. Columns
@@ -28,7 +30,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NONE = 2**31 - 1
+from scoreloom.session import written
+
+#: Characters that are no token: no rank (above all ranks), the ends of a word, and between the parts of a bucket.
+NONE, EDGE, SEP = "\U0010ffff", "\U0010fffe", "\U0010fffd"
+#: The character of token 0; those of the others follow, but for the surrogates.
+FIRST, SURROGATES = 0x100, range(0xD800, 0xE000)
 #: Texts that may have a long word: a hundred characters in a row without white space, or of it.
 LONG_RUN = r"[^ \t-\r]{100}|(?U:\s{100})"
 
@@ -36,7 +43,7 @@ LONG_RUN = r"[^ \t-\r]{100}|(?U:\s{100})"
 @dataclass(frozen=True)
 class Limits:
     sample_rows: int = 50_000
-    kept_words: int = 98_304
+    kept_words: int = 524_288
     longest_kept: int = 32  # bytes
     longest_folded: int = 400  # bytes; at least 400, since shorter words are not looked for
 
@@ -52,24 +59,53 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-class HashMap:
-    """A literal map from text, as an array of small maps by the hash of the key."""
+def _char(rank: int) -> str:
+    """The character that stands for a token."""
+    return chr(FIRST + rank if FIRST + rank < SURROGATES.start else FIRST + rank + len(SURROGATES))
+
+
+def _slot(key: Column, slots: int) -> Column:
+    return F.xxhash64(key).bitwiseAND(F.lit(slots - 1)).cast("int")
+
+
+def _power_of_two(least: int) -> int:
+    return 1 << max(0, least - 1).bit_length()
+
 
-    def __init__(self, entries: dict[str, object], value_type: str):
-        self.slots = 1
-        while self.slots < len(entries):
-            self.slots *= 2
-        table: list[dict | None] = [None] * self.slots
-        for key, value in entries.items():
-            place = xxhash.xxh64_intdigest(key.encode(), 42) & (self.slots - 1)  # as Spark's xxhash64
-            table[place] = (table[place] or {}) | {key: value}
-        self.literal = F.from_json(
-            F.lit(json.dumps(table, separators=(",", ":"), ensure_ascii=False)), f"array<map<string,{value_type}>>"
+class Pairs:
+    """A literal array of buckets of pairs. A bucket is ``..N.`` and then ``ab.c.`` for each pair, where c is what ab becomes;
+    so a pair is only found where it is one, and three characters before the rank of no pair is N."""
+
+    def __init__(self, pairs: dict[str, str]):
+        self.slots = _power_of_two(2 * len(pairs))
+        buckets: list[str | None] = [None] * self.slots
+        for pair, token in pairs.items():
+            place = xxhash.xxh64_intdigest(pair.encode(), 42) & (self.slots - 1)  # as Spark's xxhash64
+            buckets[place] = (buckets[place] or SEP + SEP + NONE + SEP) + pair + SEP + token + SEP
+        self.literal = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"), ensure_ascii=False)), "array<string>")
+
+    def rank(self, literal: Column, pair: Column) -> Column:
+        bucket = F.get(literal, _slot(pair, self.slots))
+        return F.coalesce(F.substr(bucket, F.position(pair, bucket) + 3, F.lit(1)), F.lit(NONE))
+
+
+class Known:
+    """The tokens of the kept words, as one row: arrays of buckets by the hash of the word."""
+
+    def __init__(self, words: DataFrame, slots: int):
+        """``words``: word, n, tokens."""
+        self.slots = slots
+        buckets = (
+            words.groupBy(_slot(F.col("word"), slots).alias("slot"))
+            .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word", "tokens"))).alias("found"))
         )
+        every = words.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(buckets, "slot", "left")
+        rows = F.sort_array(F.collect_list(F.struct("slot", F.col("found.word").alias("word"), F.col("found.tokens").alias("tokens"))))
+        self.row = every.agg(rows.alias("rows")).select(F.struct(F.col("rows.word").alias("word"), F.col("rows.tokens").alias("tokens")))
 
-    def find(self, literal: Column, key: Column) -> Column:
-        place = F.xxhash64(key).bitwiseAND(F.lit(self.slots - 1)).cast("int")
-        return F.try_element_at(F.get(literal, place), key)
+    def find(self, words: Column, tokens: Column, word: Column) -> Column:
+        at = F.array_position(F.get(words, _slot(word, self.slots)), word).cast("int")
+        return F.get(F.get(tokens, _slot(word, self.slots)), at - 1)
 
 
 class Codec:
@@ -77,60 +113,78 @@ class Codec:
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks, self.pattern = ranks, pattern
-        self.rank_map = HashMap({token.hex().upper(): rank for token, rank in ranks.items()}, "int")
+        halves = ((token[:k], token[k:], rank) for token, rank in ranks.items() for k in range(1, len(token)))
+        self.pairs = Pairs({
+            _char(ranks[left]) + _char(ranks[right]): _char(rank)
+            for left, right, rank in halves if left in ranks and right in ranks
+        })
+        self.bytes = "".join(_char(ranks[bytes([b])]) for b in range(256))
+        unmerged = {token: rank for token, rank in ranks.items() if merge_by_heap(token, ranks, merged=True) != [rank]}
+        self.unmerged = {_text(token): _char(rank) for token, rank in unmerged.items() if _text(token) is not None}
         pieces = [""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             pieces[rank] = token.hex().upper()
         self.pieces = F.from_json(F.lit(json.dumps(pieces)), "array<string>")
+        little = [rank.to_bytes(4, "little").hex() for rank in range(len(pieces))]
+        self.little = F.from_json(F.lit(json.dumps(little)), "array<string>")
 
     def words(self, text: Column) -> Column:
         """The pre-tokens; white space is that of Unicode."""
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + self.pattern), F.lit(0))
 
-    def fold(self, ranks: Column, word: Column) -> Column:
-        """The ids of one word, given as hexadecimal text, by the literal of the ranks."""
-        rank = lambda token: F.coalesce(self.rank_map.find(ranks, token), F.lit(NONE))
-        no_rank = F.array().cast("array<int>")
-        bytes_of = F.transform(
-            F.sequence(F.lit(1), F.length(word) - 1, F.lit(2)), lambda at: F.substr(word, at, F.lit(2))
-        )
+    def fold(self, pairs: Column, word: Column) -> Column:
+        """The tokens of one word, a character each, by the literal of the pairs."""
+        one = F.lit(1)
+        rank = lambda pair: self.pairs.rank(pairs, pair)
+        bytes_of = F.translate(F.decode(word.cast("binary"), "ISO-8859-1"), "".join(map(chr, range(256))), self.bytes)
         start = _let(
-            bytes_of,
+            F.concat(F.lit(EDGE), bytes_of, F.lit(EDGE)),
             lambda p: F.struct(
                 p.alias("p"),
-                F.transform(F.slice(p, F.lit(2), F.size(p)), lambda b, i: rank(F.concat(F.get(p, i), b))).alias("r"),
+                F.array_join(
+                    F.transform(F.sequence(one, F.length(p) - 1), lambda at: rank(F.substr(p, at, F.lit(2)))), ""
+                ).alias("r"),
             ),
         )
 
-        def merged(p, r, i):  # i: the place of the pair's first part, from 1
+        def merged(p, r, best):  # i: the place of the pair's first token, from 1; there are ends on both sides
+
+            def ranks(q, i):  # those of three pairs become those of two
+                left = F.overlay(r, rank(F.substr(q, i - 1, F.lit(2))), i - 1, 2)
+                return F.overlay(left, rank(F.substr(q, i, F.lit(2))), i, 1)
+
             return _let(
-                F.concat(F.get(p, i - 1), F.get(p, i)),
-                lambda q: F.struct(
-                    F.concat(F.slice(p, F.lit(1), i - 1), F.array(q), F.slice(p, i + 2, F.size(p))).alias("p"),
-                    F.concat(
-                        F.slice(r, F.lit(1), F.greatest(i - 2, F.lit(0))),
-                        F.when(i > 1, F.array(rank(F.concat(F.get(p, i - 2), q)))).otherwise(no_rank),
-                        F.when(i < F.size(r), F.array(rank(F.concat(q, F.get(p, i + 1))))).otherwise(no_rank),
-                        F.slice(r, i + 2, F.size(r)),
-                    ).alias("r"),
-                ),
+                F.position(best, r),
+                lambda i: _let(F.overlay(p, best, i, 2), lambda q: F.struct(q.alias("p"), ranks(q, i).alias("r"))),
             )
 
         def step(acc, _):
-            best = F.array_min(acc["r"])
-            at = F.array_position(acc["r"], best).cast("int")
-            return F.when(best < NONE, _let(at, lambda i: merged(acc["p"], acc["r"], i))).otherwise(acc)
-
-        steps = F.sequence(F.lit(1), F.greatest(F.length(word) / 2 - 1, F.lit(1)).cast("int"))
-        many = F.aggregate(steps, start, step, lambda acc: F.transform(acc["p"], rank))
-        return _let(
-            self.rank_map.find(ranks, word), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(many)
-        )
-
-    def frequent(self, df: DataFrame, text: str, limits: Limits) -> HashMap:
-        """The ids of the words that are most frequent in a sample: at most ``kept_words`` of them."""
+            lowest = F.array_min(F.split(acc["r"], ""))
+            return _let(lowest, lambda best: F.when(best < NONE, merged(acc["p"], acc["r"], best)).otherwise(acc))
+
+        steps = F.sequence(one, F.greatest(F.octet_length(word) - 1, one))
+        folded = F.aggregate(steps, start, step, lambda acc: F.substr(acc["p"], F.lit(2), F.length(acc["p"]) - 2))
+        if not self.unmerged:
+            return folded
+        whole = F.from_json(F.lit(json.dumps(self.unmerged)), "map<string,string>")
+        return F.coalesce(F.try_element_at(whole, word), folded)
+
+    def ids(self, tokens: Column) -> Column:
+        """The ids of tokens, a character each."""
+
+        def of_one(char):
+            code = F.ascii(char)
+            if FIRST + max(self.ranks.values(), default=0) < SURROGATES.start:
+                return code - FIRST
+            return code - F.when(code < SURROGATES.start, FIRST).otherwise(FIRST + len(SURROGATES))
+
+        none = F.array().cast("array<int>")
+        return F.when(tokens == "", none).otherwise(F.transform(F.split(tokens, ""), of_one))
+
+    def frequent(self, df: DataFrame, text: str, limits: Limits) -> Known | None:
+        """The words that are most frequent in a sample: at most ``kept_words`` of them."""
         if not limits.kept_words:
-            return HashMap({}, "array<int>")
+            return None
         rows = df.count()
         part = int(min(1.0, limits.sample_rows / max(1, rows)) * 2**31)
         some = df.where(F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(2**31)) < part)
@@ -141,9 +195,9 @@ class Codec:
             .orderBy(F.desc("n"), "word").limit(limits.kept_words)
         )
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ids = _let(self.rank_map.literal, lambda ranks: self.fold(ranks, F.hex(F.col("word").cast("binary"))))
-        kept = top.select("word").repartition(tasks, "word").select("word", ids.alias("ids"))
-        return HashMap({r["word"]: r["ids"] for r in kept.toLocalIterator()}, "array<int>")
+        tokens = _let(self.pairs.literal, lambda pairs: self.fold(pairs, F.col("word")))
+        kept = written(top.repartition(tasks, "word").select("word", "n", tokens.alias("tokens")))
+        return Known(kept, _power_of_two(max(1, kept.count() // 2)))
 
     def encode(self, df: DataFrame, text: str = "text", out: str = "ids", limits: Limits = Limits()) -> DataFrame:
         """``df`` and the ids of each text as ``out``; the column ``text`` goes."""
@@ -151,28 +205,32 @@ class Codec:
         body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
         longest = max(400, limits.longest_folded)
         long_words = F.filter(F.array_distinct(self.words(body)), lambda w: F.octet_length(w) > longest)
-        heaped = F.pandas_udf(_by_heap(self.ranks), "array<array<int>>")
+        heaped = F.pandas_udf(_by_heap(self.ranks), "array<string>")
         columns = [F.col(f"`{c}`") for c in df.columns if c not in (text, out)]
-
-        def ids(by_heap: Column | None) -> Column:
-            def of_word(ranks, kept, w):
-                folded = self.fold(ranks, F.hex(w.cast("binary")))
-                if by_heap is not None:
-                    folded = F.when(F.octet_length(w) > longest, F.try_element_at(by_heap, w)).otherwise(folded)
-                return F.coalesce(known.find(kept, w), folded)
-
-            def of_texts(ranks, kept):
-                return F.flatten(F.transform(self.words(body), lambda w: of_word(ranks, kept, w)))
-
-            return _let(self.rank_map.literal, lambda ranks: _let(known.literal, lambda kept: of_texts(ranks, kept)))
-
-        usual = df.where(~body.rlike(LONG_RUN)).select(*columns, ids(None).alias(out))
         taken = {*df.columns, out}
-        found, coded = (_free(name, taken) for name in ("words", "coded"))
-        long = df.where(body.rlike(LONG_RUN)).withColumn(found, long_words)
-        long = long.withColumn(coded, heaped(F.col(found)))
+        found, coded, kept = (_free(name, taken) for name in ("words", "coded", "kept"))
+
+        def tokens(pairs, by_heap, *buckets):
+            def of_word(w):
+                folded = self.fold(pairs, w)
+                folded = F.when(F.octet_length(w) > longest, F.try_element_at(by_heap, w)).otherwise(folded)
+                return F.coalesce(known.find(*buckets, w), folded) if buckets else folded
+
+            return F.array_join(F.transform(self.words(body), of_word), "")
+
+        def ids(pairs, by_heap):
+            if known is None:
+                return _let(tokens(pairs, by_heap), self.ids)
+            found_in = lambda words, known_tokens: _let(tokens(pairs, by_heap, words, known_tokens), self.ids)
+            return _let(F.col(kept), lambda k: _let(k["word"], lambda w: _let(k["tokens"], lambda t: found_in(w, t))))
+
+        rows = df.withColumn(found, F.when(body.rlike(LONG_RUN), long_words).otherwise(F.array().cast("array<string>")))
+        rows = rows.withColumn(coded, heaped(F.col(found)))
+        if known is not None:  # the optimizer puts the subquery where its column stands, so no row carries the words
+            rows = rows.withColumn(kept, known.row.scalar())
         by_heap = F.map_from_arrays(F.col(found), F.col(coded))
-        return usual.unionByName(long.select(*columns, ids(by_heap).alias(out)))
+        coding = _let(self.pairs.literal, lambda pairs: _let(by_heap, lambda heap: ids(pairs, heap)))
+        return rows.select(*columns, coding.alias(out))
 
     def decode(self, ids: Column) -> Column:
         """The bytes of a sequence of ids."""
@@ -180,19 +238,13 @@ class Codec:
 
     def packed(self, ids: Column) -> Column:
         """A sequence of ids as little-endian unsigned 32-bit integers."""
+        joined = lambda little: F.array_join(F.transform(ids, lambda i: F.get(little, i)), "")
+        return _let(self.little, lambda little: F.unhex(joined(little)))
 
-        def little(i):
-            byte = lambda k: F.shiftright(i, 8 * k).bitwiseAND(F.lit(255))
-            ends = F.shiftleft(byte(0), 8).bitwiseOR(byte(1))
-            rest = F.shiftleft(byte(2), 8).bitwiseOR(byte(3))
-            return F.lpad(F.hex(F.shiftleft(ends.cast("long"), 16).bitwiseOR(rest.cast("long"))), 8, "0")
-
-        return F.unhex(F.array_join(F.transform(ids, little), ""))
 
-
-def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one word of any length."""
-    if word in ranks:
+def merge_by_heap(word: bytes, ranks: dict[bytes, int], merged: bool = False) -> list[int]:
+    """The ids of one word of any length. ``merged``: by merges alone, even if the word is a token."""
+    if word in ranks and not merged:
         return [ranks[word]]
     end, after = list(range(1, len(word) + 1)), list(range(1, len(word) + 1))
     before, alive = list(range(-1, len(word) - 1)), [True] * len(word)
@@ -218,11 +270,19 @@ def merge_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 def _by_heap(ranks: dict[bytes, int]):
     def run(words: pd.Series) -> pd.Series:
-        return words.map(lambda some: [merge_by_heap(w.encode(), ranks) for w in some])
+        return words.map(lambda some: ["".join(map(_char, merge_by_heap(w.encode(), ranks))) for w in some])
 
     return run
 
 
+def _text(token: bytes) -> str | None:
+    """The token as text, if it is one."""
+    try:
+        return token.decode()
+    except UnicodeDecodeError:
+        return None
+
+
 def _free(name: str, taken: set[str]) -> str:
     """A column name like ``name`` that is not taken."""
     while name in taken:

@@ -230,6 +230,26 @@ def test_bpe_without_kept_words(spark, codec):
         assert bpe.merge_by_heap(word.encode(), codec.ranks) == known.encode_ordinary(word)
 
 
+def test_bpe_tokens_that_no_merge_leads_to(spark):
+    ranks = {bytes([b]): b for b in range(256)} | {b"ab": 256, b"abcd": 257, b"aba": 258, b"ba": 60_000}
+    codec = bpe.Codec(ranks, r"[a-z]+|[^a-z]")
+    words = ["abcd", "abcde", "abab", "ababa", "baba", "a", "é", "\U0010fffd\U0010fffe\U0010ffff"]
+    want = [[257], [256, 99, 100, 101], [256, 256], [256, 258], [98, 258], [97], [195, 169]]
+    for kept in (0, 100):
+        df = spark.createDataFrame([(w,) for w in words * 2 + ["ba"]], "text string").withColumn("t", F.col("text"))
+        rows = codec.encode(df, limits=bpe.Limits(kept_words=kept))
+        got = {r.t: r.ids for r in rows.collect()}
+        assert [got[w] for w in words[:-1]] == want
+        assert got["ba"] == [60_000] and got[words[-1]] == list(words[-1].encode())
+
+
+def test_kept_words_go_to_no_row(spark, codec):
+    """The kept words are read as a subquery's value where words are looked up; a literal of them would fill the driver."""
+    df = spark.createDataFrame([("some words, some words",)] * 3, "text string")
+    plan = codec.encode(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "scalar-subquery" in plan and " AS kept" not in plan
+
+
 def test_bpe_of_long_words(spark, codec):
     import tiktoken
 

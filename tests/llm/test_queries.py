@@ -75,6 +75,23 @@ def test_packing(spark, texts):
     assert total <= 1.02 * sum(r.length for p in docs.values() for r in p) + 1024
 
 
+def test_tokens(spark, texts):
+    import public_tokenizers
+    import tiktoken
+
+    from scoreloom.llm.bpe import read_ranks
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    got = {r.doc_id: r for r in QUERIES["op2_bpe"](spark, FOLDER).collect()}
+    assert set(got) == set(texts)
+    for i, text in texts.items():
+        ids = known.encode_ordinary(text or "")
+        assert got[i].n_tokens == len(ids)
+        assert got[i].ids_sha256 == hashlib.sha256(array.array("I", ids).tobytes()).hexdigest()
+        assert got[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
 def test_shards(spark, texts):
     rows, shards = QUERIES["op9_virtual_slots"](spark, FOLDER).collect(), defaultdict(list)
     assert len(rows) == len(texts)
