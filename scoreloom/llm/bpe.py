@@ -90,22 +90,25 @@ class Pairs:
 
 
 class Known:
-    """The tokens of the kept words, as one row: arrays of buckets by the hash of the word."""
+    """The tokens of kept words, as one row: an array with one word and its tokens, or null, at each hash. Of words of one
+    hash the most frequent is in it; one value of bounded size is all that passes through the driver."""
 
     def __init__(self, words: DataFrame, slots: int):
         """``words``: word, n, tokens."""
         self.slots = slots
-        buckets = (
-            words.groupBy(_slot(F.col("word"), slots).alias("slot"))
-            .agg(F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "word", "tokens"))).alias("found"))
+        entry = F.concat("word", F.lit(SEP), "tokens")
+        found = (
+            words.where(~F.contains("word", F.lit(SEP)))
+            .groupBy(_slot(F.col("word"), slots).alias("slot"))
+            .agg(F.max_by(entry, F.struct("n", "word")).alias("entry"))
         )
-        every = words.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(buckets, "slot", "left")
-        rows = F.sort_array(F.collect_list(F.struct("slot", F.col("found.word").alias("word"), F.col("found.tokens").alias("tokens"))))
-        self.row = every.agg(rows.alias("rows")).select(F.struct(F.col("rows.word").alias("word"), F.col("rows.tokens").alias("tokens")))
+        every = words.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(found, "slot", "left")
+        rows = F.sort_array(F.collect_list(F.struct("slot", "entry")))
+        self.row = every.agg(rows.alias("rows")).select("rows.entry")
 
-    def find(self, words: Column, tokens: Column, word: Column) -> Column:
-        at = F.array_position(F.get(words, _slot(word, self.slots)), word).cast("int")
-        return F.get(F.get(tokens, _slot(word, self.slots)), at - 1)
+    def find(self, entries: Column, word: Column) -> Column:
+        entry = F.get(entries, _slot(word, self.slots))
+        return F.when(F.substring_index(entry, SEP, 1) == word, F.substring_index(entry, SEP, -1))
 
 
 class Codec:
@@ -197,7 +200,7 @@ class Codec:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         tokens = _let(self.pairs.literal, lambda pairs: self.fold(pairs, F.col("word")))
         kept = written(top.repartition(tasks, "word").select("word", "n", tokens.alias("tokens")))
-        return Known(kept, _power_of_two(max(1, kept.count() // 2)))
+        return Known(kept, _power_of_two(2 * kept.count()))
 
     def encode(self, df: DataFrame, text: str = "text", out: str = "ids", limits: Limits = Limits()) -> DataFrame:
         """``df`` and the ids of each text as ``out``; the column ``text`` goes."""
@@ -210,19 +213,18 @@ class Codec:
         taken = {*df.columns, out}
         found, coded, kept = (_free(name, taken) for name in ("words", "coded", "kept"))
 
-        def tokens(pairs, by_heap, *buckets):
+        def tokens(pairs, by_heap, entries=None):
             def of_word(w):
                 folded = self.fold(pairs, w)
                 folded = F.when(F.octet_length(w) > longest, F.try_element_at(by_heap, w)).otherwise(folded)
-                return F.coalesce(known.find(*buckets, w), folded) if buckets else folded
+                return folded if entries is None else F.coalesce(known.find(entries, w), folded)
 
             return F.array_join(F.transform(self.words(body), of_word), "")
 
         def ids(pairs, by_heap):
             if known is None:
                 return _let(tokens(pairs, by_heap), self.ids)
-            found_in = lambda words, known_tokens: _let(tokens(pairs, by_heap, words, known_tokens), self.ids)
-            return _let(F.col(kept), lambda k: _let(k["word"], lambda w: _let(k["tokens"], lambda t: found_in(w, t))))
+            return _let(F.col(kept), lambda entries: _let(tokens(pairs, by_heap, entries), self.ids))
 
         rows = df.withColumn(found, F.when(body.rlike(LONG_RUN), long_words).otherwise(F.array().cast("array<string>")))
         rows = rows.withColumn(coded, heaped(F.col(found)))
