@@ -3,7 +3,8 @@
 Encoding. A text is split into pre-tokens. Each distinct word is a text of one character per token, at first one per
 byte; a fold over it merges, step by step, the neighbouring pair with the lowest rank, the leftmost of equals. The ranks
 of all neighbouring pairs are a second text, a rank being the character of the token that the pair becomes, so a merge
-overlays one character of the first text and two of the second. Pairs are found in a literal array by their hash.
+overlays one character of the first text and two of the second. Pairs are found in an array by their hash; it is one row in
+the shared folder and read by scalar subquery: as a literal it would be in the text of every plan that Spark logs.
 A token that the merges do not lead to is a word of its own and looked up.
 The most frequent words of a sample are folded once, in many tasks, and read by the encoding tasks as one value of bounded
 size, the result of a scalar subquery; all others are folded where they stand. Which words are kept changes the time, never
@@ -27,7 +28,7 @@ from dataclasses import dataclass
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.session import written
@@ -73,7 +74,7 @@ def _power_of_two(least: int) -> int:
 
 
 class Pairs:
-    """A literal array of buckets of pairs. A bucket is ``..N.`` and then ``ab.c.`` for each pair, where c is what ab becomes;
+    """An array of buckets of pairs, written as one row. A bucket is ``..N.`` and then ``ab.c.`` for each pair, where c is what ab becomes;
     so a pair is only found where it is one, and three characters before the rank of no pair is N."""
 
     def __init__(self, pairs: dict[str, str]):
@@ -82,10 +83,13 @@ class Pairs:
         for pair, token in pairs.items():
             place = xxhash.xxh64_intdigest(pair.encode(), 42) & (self.slots - 1)  # as Spark's xxhash64
             buckets[place] = (buckets[place] or SEP + SEP + NONE + SEP) + pair + SEP + token + SEP
-        self.literal = F.from_json(F.lit(json.dumps(buckets, separators=(",", ":"), ensure_ascii=False)), "array<string>")
+        self.buckets = buckets
 
-    def rank(self, literal: Column, pair: Column) -> Column:
-        bucket = F.get(literal, _slot(pair, self.slots))
+    def row(self, spark: SparkSession) -> DataFrame:
+        return written(spark.createDataFrame([(self.buckets,)], "buckets array<string>"), "pairs")
+
+    def rank(self, buckets: Column, pair: Column) -> Column:
+        bucket = F.get(buckets, _slot(pair, self.slots))
         return F.coalesce(F.substr(bucket, F.position(pair, bucket) + 3, F.lit(1)), F.lit(NONE))
 
 
@@ -104,7 +108,7 @@ class Known:
         )
         every = words.sparkSession.range(slots).select(F.col("id").cast("int").alias("slot")).join(found, "slot", "left")
         rows = F.sort_array(F.collect_list(F.struct("slot", "entry")))
-        self.row = every.agg(rows.alias("rows")).select("rows.entry")
+        self.row = written(every.agg(rows.alias("rows")).select("rows.entry"), "known")
 
     def find(self, entries: Column, word: Column) -> Column:
         entry = F.get(entries, _slot(word, self.slots))
@@ -136,7 +140,7 @@ class Codec:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit("(?U)" + self.pattern), F.lit(0))
 
     def fold(self, pairs: Column, word: Column) -> Column:
-        """The tokens of one word, a character each, by the literal of the pairs."""
+        """The tokens of one word, a character each, by the buckets of the pairs."""
         one = F.lit(1)
         rank = lambda pair: self.pairs.rank(pairs, pair)
         bytes_of = F.translate(F.decode(word.cast("binary"), "ISO-8859-1"), "".join(map(chr, range(256))), self.bytes)
@@ -184,7 +188,7 @@ class Codec:
         none = F.array().cast("array<int>")
         return F.when(tokens == "", none).otherwise(F.transform(F.split(tokens, ""), of_one))
 
-    def frequent(self, df: DataFrame, text: str, limits: Limits) -> Known | None:
+    def frequent(self, df: DataFrame, text: str, limits: Limits, pairs: DataFrame) -> Known | None:
         """The words that are most frequent in a sample: at most ``kept_words`` of them."""
         if not limits.kept_words:
             return None
@@ -198,20 +202,22 @@ class Codec:
             .orderBy(F.desc("n"), "word").limit(limits.kept_words)
         )
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        tokens = _let(self.pairs.literal, lambda pairs: self.fold(pairs, F.col("word")))
-        kept = written(top.repartition(tasks, "word").select("word", "n", tokens.alias("tokens")))
+        tokens = _let(F.col("pairs"), lambda buckets: self.fold(buckets, F.col("word")))
+        top = top.repartition(tasks, "word").withColumn("pairs", pairs.scalar())
+        kept = written(top.select("word", "n", tokens.alias("tokens")), "kept")
         return Known(kept, _power_of_two(2 * kept.count()))
 
     def encode(self, df: DataFrame, text: str = "text", out: str = "ids", limits: Limits = Limits()) -> DataFrame:
         """``df`` and the ids of each text as ``out``; the column ``text`` goes."""
-        known = self.frequent(df, text, limits)
+        pairs_row = self.pairs.row(df.sparkSession)
+        known = self.frequent(df, text, limits, pairs_row)
         body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
         longest = max(400, limits.longest_folded)
         long_words = F.filter(F.array_distinct(self.words(body)), lambda w: F.octet_length(w) > longest)
         heaped = F.pandas_udf(_by_heap(self.ranks), "array<string>")
         columns = [F.col(f"`{c}`") for c in df.columns if c not in (text, out)]
         taken = {*df.columns, out}
-        found, coded, kept = (_free(name, taken) for name in ("words", "coded", "kept"))
+        found, coded, kept, paired = (_free(name, taken) for name in ("words", "coded", "kept", "pairs"))
 
         def tokens(pairs, by_heap, entries=None):
             def of_word(w):
@@ -228,10 +234,12 @@ class Codec:
 
         rows = df.withColumn(found, F.when(body.rlike(LONG_RUN), long_words).otherwise(F.array().cast("array<string>")))
         rows = rows.withColumn(coded, heaped(F.col(found)))
-        if known is not None:  # the optimizer puts the subquery where its column stands, so no row carries the words
+        # The optimizer puts the subqueries where their columns stand, so no row carries the pairs or the words.
+        rows = rows.withColumn(paired, pairs_row.scalar())
+        if known is not None:
             rows = rows.withColumn(kept, known.row.scalar())
         by_heap = F.map_from_arrays(F.col(found), F.col(coded))
-        coding = _let(self.pairs.literal, lambda pairs: _let(by_heap, lambda heap: ids(pairs, heap)))
+        coding = _let(F.col(paired), lambda pairs: _let(by_heap, lambda heap: ids(pairs, heap)))
         return rows.select(*columns, coding.alias(out))
 
     def decode(self, ids: Column) -> Column:
