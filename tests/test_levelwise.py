@@ -5,6 +5,7 @@ import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
 
+from catalog import modelling as queries
 from scoreloom.operators import levelwise
 from scoreloom.operators import modelling as ml
 
@@ -63,6 +64,22 @@ def test_all_models_of_a_search_are_fitted_side_by_side(rows, monkeypatch):
     assert asked == [12, 1, 12, 1] and tables[0] == tables[1] and len(tables[0]) == 4
 
 
+def test_the_query_runs_the_whole_job(spark, monkeypatch):
+    """The registered query asks for the job's hundred trials over five folds; it ran three small ones over two."""
+
+    class Asked(Exception):
+        pass
+
+    def asked(blocks, sizes, models, trees=False):
+        raise Asked([(how, fold) for how, fold in models])
+
+    monkeypatch.setattr(levelwise, "fitted", asked)
+    with pytest.raises(Asked) as found:
+        queries.hyperparameter_search(spark, "/root/testdata/sf0.001")
+    points = [levelwise.Settings.of(s, ml.SEED) for s in ml.random_settings(100)]
+    assert found.value.args[0] == [(p, fold) for p in points for fold in range(5)]
+
+
 def blocks_of(table: np.ndarray, counts: np.ndarray, size: int) -> list[dict]:
     out = []
     for k in range(0, table.shape[1], size):
