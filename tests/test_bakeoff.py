@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, RandomForestClassifier
 from pyspark.sql import functions as F
 
+from catalog import modelling as queries
 from scoreloom.operators import boosting, metrics
 from scoreloom.operators import modelling as ml
 
@@ -98,3 +99,23 @@ def test_a_leaf_wise_tree_takes_as_many_rounds_as_it_is_deep(rows, monkeypatch):
     monkeypatch.setattr(boosting, "_sums", lambda *a: asked.append(1) or sums(*a))
     model = boosting.fit_binned(table, edges, FEATURES, boosting.Leafwise(n_estimators=1, num_leaves=31, max_depth=6, min_child_samples=3))
     assert sum(1 for n in boosting._nodes(model.trees[0]) if not n.left) > 20 and len(asked) <= 8
+
+
+def test_the_query_asks_for_the_algorithms_as_they_are(spark, monkeypatch):
+    """It gave the leaf-wise trees three rounds and another rate."""
+
+    class Asked(Exception):
+        pass
+
+    def asked(train, test, features, target, algorithms):
+        raise Asked(algorithms)
+
+    monkeypatch.setattr(ml, "algorithm_bakeoff", asked)
+    with pytest.raises(Asked) as found:
+        queries.algorithm_bakeoff(spark, "/root/testdata/sf0.001")
+    algorithms, usual = found.value.args[0], ml.bakeoff_algorithms(leafwise=True)
+    assert list(algorithms) == list(usual) and algorithms["leaf_wise_trees"] == usual["leaf_wise_trees"]
+    for name in ("decision_tree", "random_forest", "boosted_trees"):
+        assert [(p.name, v) for p, v in algorithms[name].extractParamMap().items() if not p.name.endswith("Col")] == [
+            (p.name, v) for p, v in usual[name].extractParamMap().items() if not p.name.endswith("Col")
+        ]
